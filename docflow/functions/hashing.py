@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the 32-bit Murmur3 definition.
 C1 = 0xCC9E2D51
@@ -57,7 +58,7 @@ def murmur3_of_batch(keys: pa.Array) -> np.ndarray:
     return hashes ^ hashes >> _U32(16)
 
 
-@F.arrow_udf("int")
+@F.arrow_udf(T.IntegerType())
 def _murmur3_udf(keys: pa.Array) -> pa.Array:
     signed = murmur3_of_batch(keys).view(np.int32)
     return pa.array(signed, mask=np.asarray(keys.is_null()))

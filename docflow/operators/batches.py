@@ -20,7 +20,7 @@ def batch_plan(df: DataFrame, groups: list[str], order: list[str], size: int = B
     if size < 1:
         raise ValueError("a batch holds at least one document")
     numbered = number_rows(df, groups, order, "_row")
-    return numbered.withColumn("batch_no", F.floor((F.col("_row") - 1) / size)).drop("_row")
+    return numbered.withColumn("batch_no", F.call_function("div", F.col("_row") - 1, F.lit(size))).drop("_row")
 
 
 def batch_sizes(planned: DataFrame, groups: list[str]) -> DataFrame:

@@ -103,7 +103,7 @@ _flatten_once = _flatten_batch.asNondeterministic()
 
 
 def flatten_json(df: DataFrame, text: str, delimiter: str = ".") -> DataFrame:
-    """Add ``flat`` (VARIANT object of path to value) and ``error`` to rows of JSON text.
+    """Add ``flat`` (JSON text of an object of path to value) and ``error`` to rows of JSON text.
 
     Objects add a name to the path, lists of objects or of lists add a 0-based index, a list of
     plain values is one multi-valued field, and nulls, empty lists and empty objects vanish.
@@ -112,12 +112,12 @@ def flatten_json(df: DataFrame, text: str, delimiter: str = ".") -> DataFrame:
     """
     parsed = df.withColumn("_flat", _flatten_once(F.col(text), F.lit(delimiter)))
     found = parsed.filter(F.col("_flat.flat").isNotNull() | F.col("_flat.error").isNotNull())
-    return found.select(*df.columns, F.parse_json("_flat.flat").alias("flat"), F.col("_flat.error").alias("error"))
+    return found.select(*df.columns, "_flat.flat", "_flat.error")
 
 
 def flat_documents(flattened: DataFrame, doc_id: str) -> DataFrame:
     """Records that flattened. A scalar top-level ``id`` of the record replaces the document id."""
-    own = F.try_variant_get("flat", "$.id", "string")
+    own = F.try_variant_get(F.parse_json("flat"), "$.id", "string")
     return flattened.filter(F.col("error").isNull()).drop("error").withColumn(doc_id, F.coalesce(own, F.col(doc_id).cast("string")))
 
 
@@ -127,7 +127,7 @@ def flat_rejects(flattened: DataFrame) -> DataFrame:
 
 def fields_of(flat: Column) -> Column:
     """The flat object as MAP of path to VARIANT, without the ``id`` that became the document id."""
-    return F.map_filter(as_object(flat), lambda path, _: path != "id")
+    return F.map_filter(as_object(F.parse_json(flat)), lambda path, _: path != "id")
 
 
 def to_leaves(documents: DataFrame, doc_id: str, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docflow.functions.let import let
 from docflow.functions.variants import as_list, as_object, is_null
@@ -149,7 +150,7 @@ def _gather(whole: str | None, part: str, spec: dict) -> dict:
     return {name: values[0] if len(values) == 1 else values for name, values in fields.items()}
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _wildcard_batch(wholes: pa.Array, parts: pa.Array, specs: pa.Array) -> pa.Array:
     spec = json.loads(specs[0].as_py()) if len(specs) else {}
     return pa.array(
