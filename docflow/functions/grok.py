@@ -18,8 +18,9 @@ from docflow.functions.let import let
 
 _REFERENCE = re.compile(r"%\{(\w+)(?::([^}:]+))?(?::(\w+))?\}")
 _CASTS = {"int": "bigint", "long": "bigint", "float": "double", "double": "double", "string": "string"}
-# Splits the groups of one match; text that holds it is handled by a slower exact branch.
-_MARK = "\u0001\u001f"
+# Separates the groups of one match: a run of one control character between two of another.
+_RUN, _END = "\u0001", "\u0002"
+_MARK = _END + _RUN + _END
 
 
 def parse_library(text: str) -> dict[str, str]:
@@ -140,17 +141,15 @@ class Grok:
         One run of the regular expression returns every group: the match is replaced by its own
         groups, separated by a mark, and split again.
         """
-        numbers = range(1, self.groups + 1)
         whole = self.search_regex if self.full_match else rf"(?s:\A.*?)(?:{self.regex})(?s:.*)\z"
-        template = _MARK + _MARK.join(f"${i}" for i in numbers)
-        fast = F.split(F.regexp_replace(text, whole, template), _MARK)
-        exact = F.when(
-            text.rlike(self.search_regex),
-            F.array(F.lit(""), *(F.regexp_extract(text, self.search_regex, i) for i in numbers)),
-        )
-        # An unmatched text comes back unchanged and therefore in one piece.
-        parts = F.when(text.contains(_MARK), exact).otherwise(F.when(F.length(text) > 0, fast))
-        return let(parts, lambda p: F.when(F.size(p) > 1, F.struct(*self._columns(p))))
+        template = _MARK + _MARK.join(f"${i}" for i in range(1, self.groups + 1))
+        # A run longer than any in the text cannot be confused with the text itself.
+        longest = F.array_max(F.transform(F.regexp_extract_all(text, F.lit(f"{_RUN}+"), F.lit(0)), F.length))
+        longer = F.concat(F.lit(_END), F.repeat(F.lit(_RUN), longest + 1), F.lit(_END))
+        mark = F.when(text.contains(_RUN), longer).otherwise(F.lit(_MARK))
+        groups = F.split(F.regexp_replace(text, F.lit(whole), F.replace(F.lit(template), F.lit(_MARK), mark)), mark)
+        # A text that does not match comes back unchanged and therefore in one piece.
+        return let(groups, lambda g: F.when((F.length(text) > 0) & (F.size(g) > 1), F.struct(*self._columns(g))))
 
     def _columns(self, parts: Column) -> list[Column]:
         columns = []

@@ -83,12 +83,12 @@ def _as_grok(pattern: Grok | str) -> Grok:
 def grok_extract(df: DataFrame, text: str, pattern: Grok | str) -> DataFrame:
     """Add the pattern's fields to every row that matches and drop the other rows.
 
-    The struct goes through a generator instead of a filter: a filter would be pushed below the
+    A field takes the place of an input column of the same name. The struct goes through a generator instead of a filter: a filter would be pushed below the
     projection and run the regular expression a second time.
     """
     grok = _as_grok(pattern)
     matched = F.filter(F.array(grok.extract(F.col(text))), lambda row: row.isNotNull())
-    return df.select("*", F.inline(matched))
+    return df.select(*(c for c in df.columns if c not in grok.fields), F.inline(matched))
 
 
 def grok_unmatched(df: DataFrame, text: str, pattern: Grok | str) -> DataFrame:
