@@ -61,8 +61,8 @@ _NODE = (
     T.StructType()
     .add("node_id", "string")
     .add("parent_id", "string")
-    .add("depth", "int")
-    .add("ordinal", "int")
+    .add("depth", "integer")
+    .add("ordinal", "integer")
     .add("fields", "string")
 )
 _BLOCK = T.StructType().add("nodes", T.ArrayType(_NODE)).add("error", "string")

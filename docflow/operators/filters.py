@@ -18,7 +18,7 @@ def track_keywords(df: DataFrame, text: str, keywords: list[str] | None) -> Data
         return df
     # One alternation is one pass over the text, however many keywords there are.
     words = "|".join(re.escape(k) for k in sorted(keywords, key=len, reverse=True))
-    return df.filter(F.col(text).rlike(rf"(?iu)(?<!\w)(?:{words})(?!\w)"))
+    return df.filter(F.col(text).rlike(rf"(?iuU)(?<!\w)(?:{words})(?!\w)"))
 
 
 def sample(df: DataFrame, key: str | Column, keep: int, of: int) -> DataFrame:

@@ -9,7 +9,7 @@ multi-valued; paths carry no list positions.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -68,10 +68,14 @@ def _values(record: Column, steps: tuple[str, ...]) -> Column:
 
     reached = members(_member(record, steps[0])) if steps else F.array(record)
     for step in steps[1:]:
-        reached = F.flatten(F.transform(reached, lambda v, s=step: members(_member(v, s))))
+        reached = F.flatten(F.transform(reached, _through(step, members)))
     return F.filter(reached, lambda v: ~is_null(v))
 
 
+def _through(step: str, members: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda value: members(_member(value, step))
+
+
 def split_records(df: DataFrame, record: str, split: str = "/") -> DataFrame:
     """One row per object found at the split path: ``part`` (VARIANT) and its number ``part_no``."""
     parts = F.array(F.col(record)) if not _steps(split) else _values(F.col(record), _steps(split))
