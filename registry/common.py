@@ -39,10 +39,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_lines(spark: SparkSession, lines: DataFrame, name: str, header: str | None = None) -> str:
     """Write a one-column DataFrame as text files in the shared folder, each with the header line."""
     folder = workspace(spark, name)
-    column = lines.columns[0]
-    writer = lines.withColumnRenamed(column, header or column).write
-    # One column and a separator that never occurs: lines come out exactly as they are.
-    writer.csv(folder, header=header is not None, sep="\u0001", quote="\u0000", emptyValue="", nullValue="")
+    if header is None:
+        lines.write.text(folder)
+    else:
+        # One column and a separator that never occurs: lines come out exactly as they are.
+        named = lines.withColumnRenamed(lines.columns[0], header)
+        named.write.csv(folder, header=True, sep="\u0001", quote="\u0000", emptyValue="", nullValue="")
     return folder
 
 
