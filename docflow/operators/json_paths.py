@@ -66,9 +66,15 @@ def _values(record: Column, steps: tuple[str, ...]) -> Column:
     def members(value: Column) -> Column:
         return let(value, lambda v: F.coalesce(as_list(v), F.when(is_null(v), none).otherwise(F.array(v))))
 
-    reached = members(_member(record, steps[0])) if steps else F.array(record)
+    if not steps:
+        return F.array(record)
+    reached = members(_member(record, steps[0]))
     for step in steps[1:]:
         reached = F.flatten(F.transform(reached, _through(step, members)))
+    if len(steps) > 1:
+        # Without a list on the way one look-up reaches the value; otherwise it finds nothing.
+        direct = _member(record, *steps)
+        reached = F.when(direct.isNotNull(), members(direct)).otherwise(reached)
     return F.filter(reached, lambda v: ~is_null(v))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docflow.functions.grok import Grok, iso_utc, tokens
+from docflow.functions.let import let
 
 #: Ready-made patterns for common log formats. Some end in a lazy field and need a full match.
 PRESETS: dict[str, Grok | None] = dict.fromkeys(
@@ -116,13 +117,15 @@ def firewall_messages(df: DataFrame, text: str) -> DataFrame:
     A line whose tag has no known layout, or whose message does not fit it, keeps its header and
     has a NULL ``fields`` map.
     """
+
+    def by_number(number: Column) -> Column:
+        fields = F
+        for name, numbers in FIREWALL_LAYOUTS.items():
+            fields = fields.when(number.isin(*numbers), Grok(f"%{{{name}}}").extract_map(F.col(text)))
+        return fields
+
     header = grok_extract(df, text, "CISCO_TAGGED_SYSLOG")
-    number = F.element_at(F.split("ciscotag", "-"), -1)
-    fields = None
-    for name, numbers in FIREWALL_LAYOUTS.items():
-        parsed = Grok(f"%{{{name}}}").extract_map(F.col(text))
-        fields = F.when(number.isin(*numbers), parsed) if fields is None else fields.when(number.isin(*numbers), parsed)
-    return header.withColumn("fields", fields)
+    return header.withColumn("fields", let(F.substring_index("ciscotag", "-", -1), by_number))
 
 
 def extract_all_tokens(df: DataFrame, text: str, name: str, keep: list[str | Column]) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docflow.functions.let import let
+
 # The date formats that are tried, in this order.
 DATE_FORMATS = (
     "yyyy-MM-dd'T'HH:mm:ss.SSSZ",
@@ -42,10 +46,26 @@ def _as_double(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
+def _shape(date_format: str) -> str:
+    """How a date of this format looks once each digit is written as 0 and an offset as Z."""
+    return re.sub(r"[yMdHmsS]", "0", date_format).replace("'", "")
+
+
 def as_date(text: Column) -> Column:
-    """The text read by the first date format that fits; the costly tries need a likely shape."""
-    tries = F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in DATE_FORMATS))
-    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}($|[T ])"), tries)
+    """The text read by the date format of its shape; NULL if there is none.
+
+    Every format has a shape of its own, so one parse decides: trying them in turn would raise
+    and catch an error for each that fails.
+    """
+    zeros = F.regexp_replace(F.regexp_replace(text, "[0-9]", "0"), "(?<=:00|:00[.,]000)[+-]0000$", "Z")
+
+    def by_shape(shape: Column) -> Column:
+        chosen = F
+        for date_format in DATE_FORMATS:
+            chosen = chosen.when(shape == _shape(date_format), F.try_to_timestamp(text, F.lit(date_format)))
+        return chosen
+
+    return let(zeros, by_shape)
 
 
 def guess_value(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -38,6 +38,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def pin_file_splits(spark: SparkSession) -> None:
+    """Keep two scans of the same files split alike while executors come and go."""
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(spark.sparkContext.defaultParallelism))
+
+
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """Deal a small batch input out over all cores, for a costly step that follows.
+
+    An input with a task per core or more, as any large one has, is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docflow.session import pin_file_splits
+
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Files directly below ``path`` whose name matches ``glob``: ``file_uri, length, modified``.
@@ -28,6 +30,7 @@ def read_lines(spark: SparkSession, path: str | list[str], glob: str | None = No
     ``block`` is where the scan of this part of the file starts; ``position`` grows with the line
     order inside one block. Both are needed only by the functions below.
     """
+    pin_file_splits(spark)
     reader = spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
     return reader.text(path).select(
         "value",

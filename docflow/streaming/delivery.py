@@ -26,6 +26,9 @@ LAST_ENDPOINT_WAIT = 1.0
 #: ``send(endpoint, collection, documents)``; raises if the batch was not accepted.
 Send = Callable[[str, str, list[str]], None]
 
+# Receipts handed back to Spark at a time.
+_RECEIPTS = 1000
+
 RECEIPT = "collection string, endpoint string, docs bigint, retried bigint, millis double"
 
 
@@ -106,26 +109,27 @@ def send_batches(
         raise ValueError("a batch holds at least one document")
 
     def send_all(arrow_batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        receipts = []
         for collection, batch in _batches(arrow_batches, batch_size):
             started = time.monotonic()
             endpoint, retried = deliver(collection, batch)
             millis = (time.monotonic() - started) * 1000
-            yield pa.RecordBatch.from_pylist(
-                [
-                    {
-                        "collection": collection,
-                        "endpoint": endpoint,
-                        "docs": len(batch),
-                        "retried": retried,
-                        "millis": millis,
-                    }
-                ]
-            )
+            receipts.append((collection, endpoint, len(batch), retried, millis))
+            if len(receipts) == _RECEIPTS:
+                yield _as_batch(receipts)
+                receipts = []
+        if receipts:
+            yield _as_batch(receipts)
 
     ordered = documents.select("collection", "json").sortWithinPartitions("collection")
     return ordered.mapInArrow(send_all, RECEIPT)
 
 
+def _as_batch(receipts: list[tuple]) -> pa.RecordBatch:
+    names = ["collection", "endpoint", "docs", "retried", "millis"]
+    return pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*receipts)], names)
+
+
 def _batches(arrow_batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, list[str]]]:
     """Batches of one collection each; the last one of a collection goes out when it ends."""
     current, held = None, []

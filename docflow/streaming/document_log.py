@@ -44,7 +44,7 @@ class DocumentLog:
         # Counted from the files just written, so the input is evaluated once.
         written = self.spark.read.schema(f"{COLLECTION} string").parquet(folder)
         manifest = written.groupBy(COLLECTION).agg(F.count(F.lit(1)).alias("docs"))
-        manifest.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/batch_id={batch_id}")
+        manifest.write.mode("overwrite").parquet(f"{self.path}/manifest/batch_id={batch_id}")
 
     def manifest(self) -> DataFrame:
         """Committed batches: ``batch_id, collection, docs``."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions.timeframes import TimeFrame
-from docflow.session import configure, workspace
+from docflow.session import configure, use_all_cores, workspace
 
 TWELVE_HOURS = TimeFrame("events_", unit="HOURS", length=12, pattern="yy-MM-dd_HH")
 
@@ -31,6 +31,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wide(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for costly row-by-row work; a single small file still keeps every core busy."""
+    return use_all_cores(table(spark, sf_dir, name))
+
+
+def wide_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wide(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with ``ts`` as an instant; the files hold it without a zone, meaning UTC."""
     return table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))

@@ -8,7 +8,7 @@ from docflow.operators import mappers as M
 from docflow.operators import typing as Y
 from docflow.operators.filters import by_id, sample, track_keywords
 from registry import Registry
-from registry.common import events, table
+from registry.common import events, table, wide_events
 
 area = Registry()
 
@@ -133,7 +133,7 @@ _CELLS = """
 
 def _cells(spark, sf_dir):
     event = F.col("event_id").cast("string")
-    return events(spark, sf_dir).select(
+    return wide_events(spark, sf_dir).select(
         "event_id",
         F.when(F.col("event_id") % 2 == 0, "true").otherwise("FALSE").alias("flag"),
         event.alias("whole"),
