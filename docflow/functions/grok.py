@@ -135,8 +135,8 @@ class Grok:
     def matches(self, text: Column) -> Column:
         return F.coalesce((F.length(text) > 0) & text.rlike(self.search_regex), F.lit(False))
 
-    def extract(self, text: Column) -> Column:
-        """STRUCT of all fields, NULL where the text is empty or does not match.
+    def _groups(self, text: Column) -> Column:
+        """All groups of the match as an array, after one empty element; shorter without a match.
 
         One run of the regular expression returns every group: the match is replaced by its own
         groups, separated by a mark, and split again.
@@ -147,27 +147,38 @@ class Grok:
         longest = F.array_max(F.transform(F.regexp_extract_all(text, F.lit(f"{_RUN}+"), F.lit(0)), F.length))
         longer = F.concat(F.lit(_END), F.repeat(F.lit(_RUN), longest + 1), F.lit(_END))
         mark = F.when(text.contains(_RUN), longer).otherwise(F.lit(_MARK))
-        groups = F.split(F.regexp_replace(text, F.lit(whole), F.replace(F.lit(template), F.lit(_MARK), mark)), mark)
+        replaced = F.regexp_replace(text, F.lit(whole), F.replace(F.lit(template), F.lit(_MARK), mark))
         # A text that does not match comes back unchanged and therefore in one piece.
-        return let(groups, lambda g: F.when((F.length(text) > 0) & (F.size(g) > 1), F.struct(*self._columns(g))))
+        return F.when(F.length(text) > 0, F.split(replaced, mark))
+
+    def extract(self, text: Column) -> Column:
+        """STRUCT of all fields, NULL where the text is empty or does not match."""
+        return let(self._groups(text), lambda g: F.when(F.size(g) > 1, F.struct(*self._columns(g))))
 
-    def _columns(self, parts: Column) -> list[Column]:
+    def _columns(self, groups: Column) -> list[Column]:
         columns = []
         for name, numbers in self.fields.items():
-            values = [F.nullif(F.get(parts, F.lit(i)), F.lit("")) for i in numbers]
+            values = [F.nullif(F.get(groups, F.lit(i)), F.lit("")) for i in numbers]
             value = F.coalesce(*values) if len(values) > 1 else values[0]
             columns.append(value.try_cast(self.casts.get(name, "string")).alias(name))
         return columns or [F.lit(True).alias("matched")]
 
     def extract_map(self, text: Column) -> Column:
-        """MAP of the fields that have a value, NULL where the text does not match."""
+        """MAP of the fields that have a value, NULL where the text does not match.
+
+        Wide or alternative layouts are cheaper this way than as a struct of many columns.
+        """
+        names = dict(sorted((number, name) for name, numbers in self.fields.items() for number in numbers))
+        # Field names never hold a line feed; the split of a literal is folded into a constant.
+        keys = F.split(F.lit("\n".join(names.values())), "\n") if names else F.array().cast("array<string>")
 
-        def to_map(row: Column) -> Column:
-            entries = [F.struct(F.lit(n).alias("key"), row[n].cast("string").alias("value")) for n in self.fields]
-            filled = F.filter(F.array(*entries), lambda e: e["value"].isNotNull())
-            return F.when(row.isNotNull(), F.map_from_entries(filled))
+        def to_map(groups: Column) -> Column:
+            pairs = F.zip_with(keys, F.slice(groups, 2, self.groups), lambda k, v: F.struct(k.alias("key"), v.alias("value")))
+            # Reversed, because the last of equal keys is kept and the first non-empty one must win.
+            filled = F.reverse(F.filter(pairs, lambda p: p["value"] != ""))
+            return F.when(F.size(groups) > 1, F.map_from_entries(filled))
 
-        return let(self.extract(text), to_map)
+        return let(self._groups(text), to_map)
 
 
 def iso_utc(value: Column, date_format: str) -> Column:

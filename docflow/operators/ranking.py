@@ -6,23 +6,30 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def first_per_group(df: DataFrame, keys: list[str], order: list[str | Column], n: int, salts: int = 64) -> DataFrame:
+# Up to this many rows per group Spark applies the limit in every task before it shuffles.
+_LIMITED_BEFORE_SHUFFLE = 1000
+
+
+def first_per_group(df: DataFrame, keys: list[str], order: list[str | Column], n: int, salts: int | None = None) -> DataFrame:
     """The first ``n`` rows of each group in ``order``, exactly.
 
-    Ranking happens twice. The first ranking cuts each group by input partition, so even a group
-    holding most rows is ranked in many tasks and leaves at most ``salts * n`` rows to the second
-    one. Which part a row falls into does not affect the result.
+    Ranking and filtering this way lets Spark keep only the first ``n`` rows of a group in each
+    task before the shuffle, so a hot group arrives already cut down. A larger ``n`` is beyond
+    that optimisation: then (or when ``salts`` is given) groups are ranked twice, first in up to
+    ``salts`` parts made of input partitions, and no task sees more than ``salts * n`` rows of one
+    group at the end. Which part a row falls into does not affect the result.
     """
-    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    part = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    group = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        salted.withColumn("_rank", F.row_number().over(part))
-        .filter(F.col("_rank") <= n)
-        .withColumn("_rank", F.row_number().over(group))
-        .filter(F.col("_rank") <= n)
-        .drop("_salt", "_rank")
-    )
+    if salts is None and n > _LIMITED_BEFORE_SHUFFLE:
+        salts = 64
+    if salts:
+        salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        df = _first(salted, [*keys, "_salt"], order, n).drop("_salt")
+    return _first(df, keys, order, n)
+
+
+def _first(df: DataFrame, keys: list[str], order: list[str | Column], n: int) -> DataFrame:
+    window = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= n).drop("_rank")
 
 
 def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "row_no", buckets: int = 1024) -> DataFrame:

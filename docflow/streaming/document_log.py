@@ -14,14 +14,16 @@ from docflow.operators.upsert import current_view
 COLLECTION = "collection"
 
 
-def write_documents(df: DataFrame, path: str, mode: str = "errorifexists", file_format: str = "parquet") -> None:
+def write_documents(
+    df: DataFrame, path: str, mode: str = "errorifexists", file_format: str = "parquet", by_slot: bool = False
+) -> None:
     """Write documents under ``collection=.../``; a new collection needs no preparation.
 
-    The rebalance brings the documents of a collection and slot together without trusting them
-    to be of similar size: Spark splits a large group over several tasks and files, and merges
-    small ones.
+    The rebalance brings the documents of a collection together without trusting collections to
+    be of similar size: Spark splits a large one over several tasks and files, and merges small
+    ones. ``by_slot`` also keeps the slots of a collection in files of their own.
     """
-    keys = [c for c in (COLLECTION, "slot") if c in df.columns]
+    keys = [COLLECTION, "slot"] if by_slot else [COLLECTION]
     placed = df.hint("rebalance", *(F.col(c) for c in keys))
     placed.write.mode(mode).format(file_format).partitionBy(COLLECTION).save(path)
 
@@ -67,8 +69,7 @@ class DocumentLog:
     def newest(self, n: int, order: tuple[str, ...] = ("batch_id", "seq")) -> DataFrame:
         """The current documents of the ``n`` newest collections.
 
-        The names come from the manifest, and the semi-join on the partition column prunes the
-        files of all other collections before they are opened.
+        The names come from the manifest; files of all other collections are never opened.
         """
         members = through_alias(self.documents(), n, self.registry())
         return current_view(members, self.keys, list(order))
