@@ -1,4 +1,4 @@
-"""Bind a column once and use it many times inside one expression.
+"""Naming a column exactly, and binding one once to use it many times in an expression.
 
 Nested arithmetic such as a hash round mentions its input several times. Written naively the
 expression tree doubles at every step; binding the input to a lambda variable keeps it linear.
@@ -12,6 +12,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, dots and blanks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated a single time per row."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docflow.functions.let import named
 from docflow.functions.variants import as_object
 
 MALFORMED = "malformed JSON"
@@ -138,7 +139,7 @@ def to_leaves(documents: DataFrame, doc_id: str, keep: tuple[str, ...] = ()) ->
 def flatten_typed(df: DataFrame, doc_id: str, columns: list[str] | None = None, delimiter: str = ".") -> DataFrame:
     """Flatten columns of known schema to ``doc_id, fields`` (MAP of path to VARIANT)."""
     chosen = [f for f in df.schema.fields if f.name != doc_id and (columns is None or f.name in columns)]
-    entries = [_typed(F.col(f.name), f.dataType, F.lit(f.name), delimiter) for f in chosen]
+    entries = [_typed(named(f.name), f.dataType, F.lit(f.name), delimiter) for f in chosen]
     # Each part is a short array; one concat keeps the plan flat.
     return df.select(F.col(doc_id).cast("string").alias(doc_id), F.map_from_entries(F.concat(*entries)).alias("fields"))
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docflow.functions.let import named
+
 # Field name suffix of each value type, and of text that holds a blank.
 SUFFIXES = {
     T.StringType: "_s",
@@ -29,8 +31,8 @@ def _suffix(data_type: T.DataType) -> str | None:
 
 def _value(field: T.StructField) -> Column:
     if isinstance(field.dataType, (T.TimestampNTZType, T.DateType)):
-        return F.col(field.name).cast("timestamp")
-    return F.col(field.name)
+        return named(field.name).cast("timestamp")
+    return named(field.name)
 
 
 def dynamic_fields(df: DataFrame, id_col: str, overrides: dict[str, str] | None = None) -> DataFrame:
@@ -55,9 +57,9 @@ def dynamic_fields(df: DataFrame, id_col: str, overrides: dict[str, str] | None
         if field.name in overrides:
             add(_value(field), field.name + overrides[field.name])
         elif isinstance(field.dataType, T.StringType):
-            has_blank = F.instr(field.name, " ") > 0
-            add(F.when(~has_blank, F.col(field.name)), field.name + SUFFIXES[T.StringType])
-            add(F.when(has_blank, F.col(field.name)), field.name + TEXT_SUFFIX)
+            has_blank = F.instr(named(field.name), " ") > 0
+            add(F.when(~has_blank, named(field.name)), field.name + SUFFIXES[T.StringType])
+            add(F.when(has_blank, named(field.name)), field.name + TEXT_SUFFIX)
         elif _suffix(field.dataType):
             add(_value(field), field.name + _suffix(field.dataType))
     _check_distinct(names)
@@ -70,7 +72,7 @@ def guessed_fields(df: DataFrame, id_col: str) -> DataFrame:
     Arrays are left out here too.
     """
     kept = [
-        f.name for f in df.schema.fields if f.name not in ("id", id_col) and not isinstance(f.dataType, T.ArrayType)
+        named(f.name) for f in df.schema.fields if f.name not in ("id", id_col) and not isinstance(f.dataType, T.ArrayType)
     ]
     return df.select(F.col(id_col).cast("string").alias("id"), *kept)
 
@@ -97,7 +99,7 @@ def keep_mapped(df: DataFrame, document: str) -> DataFrame:
 def to_fields(documents: DataFrame, id_col: str = "id") -> DataFrame:
     """Long form of wide documents, ``id, field, value`` as text; NULL fields are absent."""
     entries = [
-        F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value"))
+        F.struct(F.lit(c).alias("field"), named(c).cast("string").alias("value"))
         for c in documents.columns
         if c != id_col
     ]
@@ -110,7 +112,7 @@ def to_json_text(df: DataFrame, payload: str | None = None, columns: list[str] |
     if payload is not None:
         is_text = isinstance(df.schema[payload].dataType, T.StringType)
         return df.withColumn("json", F.col(payload) if is_text else F.to_json(payload))
-    return df.withColumn("json", F.to_json(F.struct(*(columns or df.columns))))
+    return df.withColumn("json", F.to_json(F.struct(*map(named, columns or df.columns))))
 
 
 def envelopes(df: DataFrame, id_col: str, fields: list[str] | str | None = None) -> DataFrame:
@@ -133,7 +135,7 @@ def envelopes(df: DataFrame, id_col: str, fields: list[str] | str | None = None)
 
 
 def _variant(field: T.StructField) -> Column:
-    column = F.col(field.name)
+    column = named(field.name)
     if isinstance(field.dataType, (T.StructType, T.MapType, T.ArrayType)):
         return F.to_variant_object(column)
     return column.cast("variant")
@@ -152,7 +154,7 @@ def drop_blank(df: DataFrame, columns: list[str] | None = None, trim: bool = Tru
     """Set empty strings to NULL, which makes the field absent; with ``trim`` also all-blank ones."""
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     chosen = [c for c in (columns or df.columns) if c in text]
-    return df.withColumns({c: F.when(F.length(F.trim(c) if trim else c) > 0, F.col(c)) for c in chosen})
+    return df.withColumns({c: F.when(F.length(F.trim(named(c)) if trim else named(c)) > 0, named(c)) for c in chosen})
 
 
 def clean_names(df: DataFrame) -> DataFrame:
@@ -171,7 +173,7 @@ def with_missing_ids(df: DataFrame, id_col: str = "id", content: list[str] | Non
     if content is None:
         generated = F.uuid()
     else:
-        parts = [F.coalesce(F.concat(F.lit("+"), F.col(c).cast("string")), F.lit("-")) for c in content]
+        parts = [F.coalesce(F.concat(F.lit("+"), named(c).cast("string")), F.lit("-")) for c in content]
         digest = F.sha2(F.concat_ws("\u001f", *parts), 256)
         sizes, at, pieces = (8, 4, 4, 4, 12), 1, []
         for size in sizes:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.functions.let import let
+from docflow.functions.let import let, named
 
 # The date formats that are tried, in this order.
 DATE_FORMATS = (
@@ -87,8 +87,8 @@ def guess_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, st
     double, any other mixture (and a column without values) a string.
     """
     chosen = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    summary = df.select(*(guess_value(F.col(c)).alias(c) for c in chosen)).agg(
-        *(F.collect_set(c).alias(c) for c in chosen)
+    summary = df.select(*(guess_value(named(c)).alias(c) for c in chosen)).agg(
+        *(F.collect_set(named(c)).alias(c) for c in chosen)
     )
     found = summary.first()
     return {c: _common(set(found[c])) for c in chosen}
@@ -109,4 +109,4 @@ def cast_guessed(df: DataFrame, types: dict[str, str]) -> DataFrame:
         "date": as_date,
         "string": lambda c: c,
     }
-    return df.withColumns({c: casts[kind](F.col(c)) for c, kind in types.items()})
+    return df.withColumns({c: casts[kind](named(c)) for c, kind in types.items()})
