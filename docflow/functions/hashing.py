@@ -32,6 +32,11 @@ def _scramble(word: np.ndarray) -> np.ndarray:
     return _rotate(word * _U32(C1), 15) * _U32(C2)
 
 
+def _byte(data: np.ndarray, at: np.ndarray, j: int) -> np.ndarray:
+    """Byte ``j`` after each position, at its place in a little-endian word."""
+    return data[at + j].astype(_U32) << _U32(8 * j)
+
+
 def murmur3_of_batch(keys: pa.Array) -> np.ndarray:
     """Unsigned hashes of one Arrow batch of strings (a null slot hashes like an empty string)."""
     raw = keys.cast(pa.large_binary())
@@ -39,19 +44,19 @@ def murmur3_of_batch(keys: pa.Array) -> np.ndarray:
     start, length = ends[:-1], np.diff(ends)
     body = raw.buffers()[2]
     # Three spare bytes let the last key's trailing word be read without a bounds test.
-    data = np.append(np.frombuffer(body or b"", dtype=np.uint8), np.zeros(4, np.uint8)).astype(_U32)
+    data = np.append(np.frombuffer(body or b"", dtype=np.uint8), np.zeros(4, np.uint8))
 
     hashes = np.zeros(len(raw), _U32)
     words = length >> 2
     for i in range(int(words.max(initial=0))):
         rows = np.flatnonzero(words > i)
         at = start[rows] + 4 * i
-        word = data[at] | data[at + 1] << _U32(8) | data[at + 2] << _U32(16) | data[at + 3] << _U32(24)
+        word = _byte(data, at, 0) | _byte(data, at, 1) | _byte(data, at, 2) | _byte(data, at, 3)
         hashes[rows] = _rotate(hashes[rows] ^ _scramble(word), 13) * _U32(5) + _U32(ROUND_ADD)
 
     tail, at = length & 3, start + 4 * words
-    word = sum(np.where(tail > j, data[at + j], _U32(0)) << _U32(8 * j) for j in range(3))
-    hashes ^= _scramble(word.astype(_U32)) ^ length.astype(_U32)
+    word = sum(np.where(tail > j, _byte(data, at, j), _U32(0)) for j in range(3))
+    hashes ^= _scramble(word) ^ length.astype(_U32)
 
     hashes = (hashes ^ hashes >> _U32(16)) * _U32(FINAL_1)
     hashes = (hashes ^ hashes >> _U32(13)) * _U32(FINAL_2)

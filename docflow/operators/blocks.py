@@ -10,19 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.operators.flatten import BadRecord, nests, read_object
+from docflow.operators.flatten import BadRecord, nests, read_object, scalar_text
 from docflow.operators.ranking import first_per_group
 
 SEPARATOR = "."
 
 
-def _own_id(record: dict) -> str | None:
-    value = record.get("id")
-    if value is None or isinstance(value, (dict, list)):
-        return None
-    return value if isinstance(value, str) else json.dumps(value)
-
-
 def nodes(doc_id: str, record: dict) -> Iterator[dict]:
     """The documents of one block, parent first.
 
@@ -30,7 +23,7 @@ def nodes(doc_id: str, record: dict) -> Iterator[dict]:
     ``parent.field[.index]``. An element of a list of lists becomes a child whose only field is
     named like the child and holds the inner list.
     """
-    pending = [(_own_id(record) or doc_id, None, 0, 0, record)]
+    pending = [(scalar_text(record.get("id")) or doc_id, None, 0, 0, record)]
     while pending:
         node_id, parent_id, depth, ordinal, content = pending.pop()
         fields, children = {}, []
@@ -39,12 +32,12 @@ def nodes(doc_id: str, record: dict) -> Iterator[dict]:
             if value is None or value == [] or (name == "id" and not isinstance(value, (dict, list))):
                 continue
             if isinstance(value, dict):
-                children.append((_own_id(value) or below, 0, value))
+                children.append((scalar_text(value.get("id")) or below, 0, value))
             elif isinstance(value, list) and nests(value):
                 for i, item in enumerate(value):
                     at = f"{below}{SEPARATOR}{i}"
                     inner = item if isinstance(item, dict) else {at: item}
-                    children.append((_own_id(inner) or at, i, inner))
+                    children.append((scalar_text(inner.get("id")) or at, i, inner))
             else:
                 fields[name] = value
         yield {

@@ -77,53 +77,70 @@ def leaves(record: dict, delimiter: str, indexed: bool = True) -> Iterator[tuple
         pending.extend(reversed(inner))
 
 
-def _flat(text: str | None, delimiter: str) -> tuple[str | None, str | None]:
+def scalar_text(value) -> str | None:
+    """A scalar as text, for ids and times; None for anything else."""
+    if value is None or isinstance(value, (dict, list)):
+        return None
+    return value if isinstance(value, str) else json.dumps(value)
+
+
+def _flat(text: str | None, delimiter: str, picks: list[str]) -> dict:
     try:
         record = read_object(text)
         if record is None:
-            return None, None
-        return json.dumps(dict(leaves(record, delimiter)), ensure_ascii=False, allow_nan=False), None
+            return {}
+        fields = dict(leaves(record, delimiter))
+        flat = json.dumps(fields, ensure_ascii=False, allow_nan=False)
+        return {"flat": flat, "picked": [scalar_text(fields.get(name)) for name in picks]}
     except BadRecord as bad:
-        return None, str(bad)
+        return {"error": str(bad)}
     except ValueError:
-        return None, "number out of range"
+        return {"error": "number out of range"}
 
 
-_FLAT = T.StructType().add("flat", "string").add("error", "string")
+_FLAT = T.StructType().add("flat", "string").add("error", "string").add("picked", T.ArrayType(T.StringType()))
+_ARROW_FLAT = pa.struct([("flat", pa.string()), ("error", pa.string()), ("picked", pa.list_(pa.string()))])
 
 
 @F.arrow_udf(_FLAT)
-def _flatten_batch(texts: pa.Array, delimiters: pa.Array) -> pa.Array:
-    rows = [_flat(text, delimiter) for text, delimiter in zip(texts.to_pylist(), delimiters.to_pylist())]
-    columns = [pa.array([row[i] for row in rows], pa.string()) for i in (0, 1)]
-    return pa.StructArray.from_arrays(columns, ["flat", "error"])
+def _flatten_batch(texts: pa.Array, delimiters: pa.Array, picks: pa.Array) -> pa.Array:
+    if not len(texts):
+        return pa.array([], _ARROW_FLAT)
+    delimiter, names = delimiters[0].as_py(), picks[0].as_py()
+    return pa.array([_flat(text, delimiter, names) for text in texts.to_pylist()], _ARROW_FLAT)
 
 
 # Declared non-deterministic only so that a filter on its result cannot run it a second time.
 _flatten_once = _flatten_batch.asNondeterministic()
 
 
-def flatten_json(df: DataFrame, text: str, delimiter: str = ".") -> DataFrame:
-    """Add ``flat`` (JSON text of an object of path to value) and ``error`` to rows of JSON text.
+def flatten_json(df: DataFrame, text: str, delimiter: str = ".", pick: tuple[str, ...] = ()) -> DataFrame:
+    """Add ``flat`` (JSON text of an object of path to value), ``own_id`` and ``error``.
 
     Objects add a name to the path, lists of objects or of lists add a 0-based index, a list of
     plain values is one multi-valued field, and nulls, empty lists and empty objects vanish.
+    ``own_id`` is the record's scalar top-level ``id`` as text; ``pick`` adds the column
+    ``picked`` with the text of further scalar fields, so that they need no second parse.
     ``error`` tells why a record has no document. No text and a literal ``null`` are no record at
     all and leave no row.
     """
-    parsed = df.withColumn("_flat", _flatten_once(F.col(text), F.lit(delimiter)))
+    names = F.array(*map(F.lit, ("id", *pick)))
+    parsed = df.withColumn("_flat", _flatten_once(F.col(text), F.lit(delimiter), names))
     found = parsed.filter(F.col("_flat.flat").isNotNull() | F.col("_flat.error").isNotNull())
-    return found.select(*df.columns, "_flat.flat", "_flat.error")
+    columns = ["_flat.flat", F.get("_flat.picked", F.lit(0)).alias("own_id"), "_flat.error"]
+    if pick:
+        columns.append(F.slice("_flat.picked", 2, len(pick)).alias("picked"))
+    return found.select(*df.columns, *columns)
 
 
 def flat_documents(flattened: DataFrame, doc_id: str) -> DataFrame:
-    """Records that flattened. A scalar top-level ``id`` of the record replaces the document id."""
-    own = F.try_variant_get(F.parse_json("flat"), "$.id", "string")
-    return flattened.filter(F.col("error").isNull()).drop("error").withColumn(doc_id, F.coalesce(own, F.col(doc_id).cast("string")))
+    """Records that flattened. A record's own id replaces the document id."""
+    found = flattened.filter(F.col("error").isNull())
+    return found.withColumn(doc_id, F.coalesce("own_id", F.col(doc_id).cast("string"))).drop("own_id", "error")
 
 
 def flat_rejects(flattened: DataFrame) -> DataFrame:
-    return flattened.filter(F.col("error").isNotNull()).drop("flat")
+    return flattened.filter(F.col("error").isNotNull()).drop("flat", "own_id", "picked")
 
 
 def fields_of(flat: Column) -> Column:

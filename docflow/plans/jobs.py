@@ -1,6 +1,7 @@
 """The six ingest jobs. Each returns its documents and, where records can be bad, its rejects.
 
-All of them work on batch and on streaming input.
+All of them work on batch and on streaming input. Documents and rejects are separate queries over
+the same input: write the input to a table first when both are wanted and it is costly to read.
 """
 
 from __future__ import annotations
@@ -29,9 +30,8 @@ class Ingest(NamedTuple):
     rejects: DataFrame | None
 
 
-def record_time(flat: Column, field: str) -> Column:
-    """The time of a flat record: a number is epoch milliseconds, text is ISO."""
-    text = F.try_variant_get(F.parse_json(flat), f"$['{field}']", "string")
+def record_time(text: Column) -> Column:
+    """The time of a record: a number is epoch milliseconds, anything else ISO text."""
     digits = text.rlike(r"^-?\d+$")
     return F.when(digits, F.timestamp_millis(text.try_cast("bigint"))).otherwise(text.try_cast("timestamp"))
 
@@ -44,10 +44,12 @@ def event_log(
     Documents are ``collection, shard, slot, id, ts, json``; the event time doubles as the tie
     that spreads the events of one hot id over the writers of its shard.
     """
-    flat = flatten.flatten_json(lines.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "text")
-    ts = record_time(F.col("flat"), ts_field)
+    named = lines.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    flat = flatten.flatten_json(named, "text", pick=(ts_field,))
+    ts = record_time(F.get("picked", F.lit(0)))
     found = flatten.flat_documents(flat, "id").withColumn("ts", ts).filter(F.col("ts").isNotNull())
-    placed = with_shard(found.withColumn("collection", frame.collection(F.col("ts"))), "id", shards, tasks, F.unix_millis("ts"))
+    assigned = found.withColumn("collection", frame.collection(F.col("ts")))
+    placed = with_shard(assigned, "id", shards, tasks, F.unix_millis("ts"))
     documents = placed.select(
         "collection", "shard", "slot", "id", F.unix_millis("ts").alias("ts"), F.col("flat").alias("json")
     )

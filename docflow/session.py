@@ -67,8 +67,6 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="docflow-")
         spark.conf.set(CHECKPOINT_DIR, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
     return root
 
 

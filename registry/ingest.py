@@ -133,6 +133,13 @@ def csv_rows(spark, sf_dir):
     return rows.select("doc_id", *(F.col("row")[c].alias(c) for c in ("id", "name", "segment", "nation")))
 
 
+@area.add(f"SELECT c_custkey::VARCHAR AS doc_id, c_name AS name FROM customer WHERE NOT ({_BAD})")
+def csv_known_header(spark, sf_dir):
+    fields = ["name", "id", "segment", "nation"]
+    parsed = delimited.parse_delimited(spark, _customer_files(spark, sf_dir), fields=fields)
+    return delimited.delimited_documents(parsed).select("doc_id", F.col("row")["name"].alias("name"))
+
+
 @area.add("""
     SELECT CASE WHEN c_custkey % 11 = 0 THEN c_name || ',' || c_custkey || ',' || c_mktsegment || ',' || c_nationkey || ',extra'
       ELSE c_name || ',' || c_custkey || ',,' END AS line

@@ -88,6 +88,21 @@ def test_headers_differ_per_file_and_quotes_stay(spark, tmp_path):
     assert rows == [("1", "x"), ("2", '"y"'), ("7", "z")]
 
 
+def test_known_header_is_skipped_without_a_second_scan(spark, tmp_path):
+    _file(tmp_path / "a.csv", BOOKS)
+    _file(tmp_path / "b.csv", 'id,cat,name,price\n7,"q",id,\\2\n')
+    slow = D.parse_delimited(spark, str(tmp_path))
+    fast = D.parse_delimited(spark, str(tmp_path), fields=["id", "cat", "name", "price"])
+    columns = ["doc_id", "row"]
+
+    def rows(parsed):
+        return sorted((r.doc_id, sorted(r.row.items())) for r in D.delimited_documents(parsed).select(columns).collect())
+
+    assert rows(slow) == rows(fast) and len(rows(fast)) == 3
+    assert sorted(r.line for r in D.delimited_rejects(slow).collect()) == sorted(r.line for r in D.delimited_rejects(fast).collect())
+    assert "Join" not in fast._jdf.queryExecution().executedPlan().toString()
+
+
 def test_other_delimiters(spark, tmp_path):
     path = _file(tmp_path / "p.txt", "1|a.b|c\n2|d|\n")
     parsed = D.parse_delimited(spark, path, "|", header=False, fields=["n", "x", "y"])
