@@ -35,25 +35,25 @@ def _first(df: DataFrame, keys: list[str], order: list[str | Column], n: int) ->
 def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "row_no", buckets: int = 1024) -> DataFrame:
     """Number the rows of each group 1, 2, 3... without sorting a whole group in one task.
 
-    Rows are ordered by bucket first, where the bucket is a hash of the ``order`` columns, and by
-    ``order`` within a bucket; the columns must tell all rows of a group apart. Counts per bucket,
-    a table of at most groups x buckets rows, turn into starting numbers. Both steps partition by
-    group and bucket, so the rows are shuffled once and a hot group spreads over all tasks.
+    Meant for few groups that may be huge. Rows are ordered by bucket first, where the bucket is a
+    hash of the ``order`` columns, and by ``order`` within a bucket; the columns must tell all rows
+    of a group apart. Counts per bucket, a table of at most groups x buckets rows, turn into
+    starting numbers. Ranking and join both go by bucket and group, so the rows are shuffled and
+    sorted once, and a hot group spreads over all tasks. The input is read twice.
     """
     # A struct key compares equal to itself even where a group column is NULL.
-    spread = df.withColumn("_group", F.struct(*keys)).withColumn(
-        "_part", F.struct(*keys, F.pmod(F.xxhash64(*order), F.lit(buckets)).alias("_bucket"))
-    )
-    earlier = Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    spread = df.withColumn("_group", F.struct(*keys)).withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    place = ["_bucket", "_group"]
+    earlier = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        spread.groupBy("_group", "_part")
+        spread.groupBy(*place)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+        .select(*place, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    inside = Window.partitionBy("_part").orderBy(*order)
-    numbered = spread.drop("_group").withColumn("_inside", F.row_number().over(inside))
+    inside = Window.partitionBy(*place).orderBy(*order)
     return (
-        numbered.join(starts, "_part")
+        spread.withColumn("_inside", F.row_number().over(inside))
+        .join(starts, place)
         .withColumn(name, F.col("_before") + F.col("_inside"))
-        .drop("_part", "_before", "_inside")
+        .drop(*place, "_before", "_inside")
     )

@@ -189,10 +189,10 @@ def _records(spark, sf_dir):
 
 
 @area.add(f"""
-    SELECT {_K}, 0 AS part_no, o_orderpriority AS priority, 1 AS no, {_C} % 2 AS half, NULL::BIGINT AS x,
+    SELECT {_K}, 0 AS part_no, o_orderpriority AS priority, 1 AS no, ({_C} % 2)::VARCHAR AS half, NULL AS x,
       '["' || o_orderstatus || '","' || o_orderpriority || '"]' AS tags FROM orders
     UNION ALL
-    SELECT {_K}, 1, o_orderpriority, 2, NULL, {_K} % 3, '["' || o_orderstatus || '","' || o_orderpriority || '"]' FROM orders
+    SELECT {_K}, 1, o_orderpriority, 2, NULL, ({_K} % 3)::VARCHAR, '["' || o_orderstatus || '","' || o_orderpriority || '"]' FROM orders
 """)
 def json_split_mapping(spark, sf_dir):
     mappings = ("priority:/priority", "/items/no", "half_l:/items/half", "x:/items/sub/x", "tags:/customer/tags")
@@ -203,7 +203,7 @@ def json_split_mapping(spark, sf_dir):
 
     return mapped.select(
         "o_orderkey", "part_no", field("priority").alias("priority"), field("no").cast("int").alias("no"),
-        field("half_l").cast("bigint").alias("half"), field("x").cast("bigint").alias("x"), field("tags").alias("tags"),
+        field("half_l").alias("half"), field("x").alias("x"), field("tags").alias("tags"),
     )
 
 

@@ -234,8 +234,8 @@ def test_blank_fields_names_and_ids(spark):
 
 
 def test_row_filters(spark):
-    df = spark.createDataFrame([(1, "Spark jobs"), (2, "sparkling"), (3, "a STORM-cloud"), (4, None)], "id int, t string")
-    assert [r.id for r in K.track_keywords(df, "t", ["spark", "storm"]).orderBy("id").collect()] == [1, 3]
+    df = spark.createDataFrame([(1, "Spark jobs"), (2, "sparkling"), (3, "a CLOUD-burst"), (4, None)], "id int, t string")
+    assert [r.id for r in K.track_keywords(df, "t", ["spark", "cloud"]).orderBy("id").collect()] == [1, 3]
     assert K.track_keywords(df, "t", []).count() == 4
     assert [r.id for r in K.sample(df, "id", 1, 2).orderBy("id").collect()] == [2, 4]
     assert K.sample(df, "t", 0, 5).count() == 0 and K.sample(spark.range(1000), F.col("id").cast("string"), 1, 4).count() in range(200, 300)
