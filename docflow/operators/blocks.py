@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.operators.flatten import BadRecord, nests, read_object, scalar_text
+from docflow.operators.flatten import BadRecord, json_codec, nests, read_object, scalar_text
 from docflow.operators.ranking import first_per_group
 
 SEPARATOR = "."
 
 
-def nodes(doc_id: str, record: dict) -> Iterator[dict]:
+def nodes(doc_id: str, record: dict, encode: Callable[[object], str]) -> Iterator[dict]:
     """The documents of one block, parent first.
 
     Objects and elements of lists of objects become children under their own ``id`` or under
@@ -45,7 +44,7 @@ def nodes(doc_id: str, record: dict) -> Iterator[dict]:
             "parent_id": parent_id,
             "depth": depth,
             "ordinal": ordinal,
-            "fields": json.dumps(fields, ensure_ascii=False, allow_nan=False),
+            "fields": encode(fields) if fields else "{}",
         }
         pending.extend((child, node_id, depth + 1, i, inner) for child, i, inner in reversed(children))
 
@@ -70,10 +69,10 @@ _ARROW_NODE = pa.struct(
 )
 
 
-def _block(doc_id: str | None, text: str | None) -> dict:
+def _block(doc_id: str | None, text: str | None, decode, encode) -> dict:
     try:
-        record = read_object(text)
-        return {"nodes": None if record is None else list(nodes(doc_id, record)), "error": None}
+        record = read_object(text, decode)
+        return {"nodes": None if record is None else list(nodes(doc_id, record, encode)), "error": None}
     except BadRecord as bad:
         return {"nodes": None, "error": str(bad)}
     except ValueError:
@@ -82,7 +81,8 @@ def _block(doc_id: str | None, text: str | None) -> dict:
 
 @F.arrow_udf(_BLOCK)
 def _block_batch(doc_ids: pa.Array, texts: pa.Array) -> pa.Array:
-    rows = [_block(doc_id, text) for doc_id, text in zip(doc_ids.to_pylist(), texts.to_pylist())]
+    codec = json_codec()
+    rows = [_block(doc_id, text, *codec) for doc_id, text in zip(doc_ids.to_pylist(), texts.to_pylist())]
     return pa.array(rows, pa.struct([("nodes", pa.list_(_ARROW_NODE)), ("error", pa.string())]))
 
 

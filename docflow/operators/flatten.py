@@ -10,7 +10,7 @@ end to end). Neither form shuffles, and neither limits the depth.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -33,12 +33,19 @@ def _no_constant(token: str):
     raise BadRecord(MALFORMED)
 
 
-def read_object(text: str | None) -> dict | None:
+def json_codec() -> tuple[Callable[[str], object], Callable[[object], str]]:
+    """Strict JSON reader and compact writer, for a whole batch: building one costs more than a use."""
+    reader = json.JSONDecoder(parse_constant=_no_constant)
+    writer = json.JSONEncoder(ensure_ascii=False, allow_nan=False, check_circular=False, separators=(",", ":"))
+    return reader.decode, writer.encode
+
+
+def read_object(text: str | None, decode: Callable[[str], object]) -> dict | None:
     """The JSON object in ``text``; None for no text, blank-only text or a literal ``null``."""
     if text is None or not text.strip():
         return None
     try:
-        value = json.loads(text, parse_constant=_no_constant)
+        value = decode(text)
     except (json.JSONDecodeError, RecursionError):
         raise BadRecord(MALFORMED) from None
     if value is not None and not isinstance(value, dict):
@@ -60,21 +67,28 @@ def nests(items: list) -> bool:
     return True
 
 
-def leaves(record: dict, delimiter: str, indexed: bool = True) -> Iterator[tuple[str, object]]:
+def leaves(record: dict, delimiter: str) -> Iterator[tuple[str, object]]:
     """Path and value of every field of a nested record, in document order."""
-    pending = [(name, value) for name, value in reversed(record.items())]
+    pending = [iter(record.items())]
+    prefixes = [""]
     while pending:
-        path, value = pending.pop()
-        if value is None or value == [] or value == {}:
-            continue
-        if isinstance(value, dict):
-            inner = [(path + delimiter + name, item) for name, item in value.items()]
-        elif isinstance(value, list) and nests(value):
-            inner = [(f"{path}{delimiter}{i}" if indexed else path, item) for i, item in enumerate(value)]
+        for name, value in pending[-1]:
+            if value is None or value == [] or value == {}:
+                continue
+            path = f"{prefixes[-1]}{name}"
+            if isinstance(value, dict):
+                inner = value.items()
+            elif isinstance(value, list) and nests(value):
+                inner = enumerate(value)
+            else:
+                yield path, value
+                continue
+            pending.append(iter(inner))
+            prefixes.append(path + delimiter)
+            break
         else:
-            yield path, value
-            continue
-        pending.extend(reversed(inner))
+            pending.pop()
+            prefixes.pop()
 
 
 def scalar_text(value) -> str | None:
@@ -84,14 +98,13 @@ def scalar_text(value) -> str | None:
     return value if isinstance(value, str) else json.dumps(value)
 
 
-def _flat(text: str | None, delimiter: str, picks: list[str]) -> dict:
+def _flat(text: str | None, delimiter: str, picks: list[str], decode, encode) -> dict:
     try:
-        record = read_object(text)
+        record = read_object(text, decode)
         if record is None:
             return {}
         fields = dict(leaves(record, delimiter))
-        flat = json.dumps(fields, ensure_ascii=False, allow_nan=False)
-        return {"flat": flat, "picked": [scalar_text(fields.get(name)) for name in picks]}
+        return {"flat": encode(fields), "picked": [scalar_text(fields.get(name)) for name in picks]}
     except BadRecord as bad:
         return {"error": str(bad)}
     except ValueError:
@@ -106,8 +119,8 @@ _ARROW_FLAT = pa.struct([("flat", pa.string()), ("error", pa.string()), ("picked
 def _flatten_batch(texts: pa.Array, delimiters: pa.Array, picks: pa.Array) -> pa.Array:
     if not len(texts):
         return pa.array([], _ARROW_FLAT)
-    delimiter, names = delimiters[0].as_py(), picks[0].as_py()
-    return pa.array([_flat(text, delimiter, names) for text in texts.to_pylist()], _ARROW_FLAT)
+    delimiter, names, codec = delimiters[0].as_py(), picks[0].as_py(), json_codec()
+    return pa.array([_flat(text, delimiter, names, *codec) for text in texts.to_pylist()], _ARROW_FLAT)
 
 
 # Declared non-deterministic only so that a filter on its result cannot run it a second time.

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from docflow.functions.let import let
 from docflow.functions.variants import as_list, as_object, is_null
+from docflow.operators.flatten import json_codec
 
 ALL_FIELDS = ("$FQN:/**",)
 FULL_NAME = "$FQN"
@@ -163,9 +164,10 @@ def _gather(whole: str | None, part: str, spec: dict) -> dict:
 @F.arrow_udf(T.StringType())
 def _wildcard_batch(wholes: pa.Array, parts: pa.Array, specs: pa.Array) -> pa.Array:
     spec = json.loads(specs[0].as_py()) if len(specs) else {}
+    encode = json_codec()[1]
     return pa.array(
         [
-            json.dumps(_gather(whole, part, spec), ensure_ascii=False)
+            encode(_gather(whole, part, spec))
             for whole, part in zip(wholes.to_pylist(), parts.to_pylist())
         ],
         pa.string(),

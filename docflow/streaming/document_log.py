@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from docflow.operators.collections import through_alias
@@ -59,7 +60,11 @@ class DocumentLog:
 
     def documents(self) -> DataFrame:
         """All committed document versions, with their ``batch_id``."""
-        stored = self.spark.read.parquet(f"{self.path}/documents")
+        found = self.spark.read.parquet(f"{self.path}/documents").schema
+        # Folder names are text: a collection called 20240101 or 2024-01-01 must not change type.
+        kinds = {COLLECTION: T.StringType(), "batch_id": T.LongType()}
+        schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found.fields])
+        stored = self.spark.read.schema(schema).parquet(f"{self.path}/documents")
         return stored.join(self.manifest().select("batch_id").distinct(), "batch_id", "left_semi")
 
     def current(self, order: tuple[str, ...] = ("batch_id", "seq")) -> DataFrame:

@@ -347,8 +347,8 @@ def ingest_events(spark, sf_dir, shards: int = 3, tasks: int = 2) -> jobs.Ingest
     return jobs.event_log(event_lines(spark, sf_dir), "id", "line", TWELVE_HOURS, shards=shards, tasks=tasks)
 
 
-_EVENT_JSON = """'{"ts": ' || (epoch_us(ts) // 1000) || ', "user_id": ' || user_id || ', "event_type": "' || event_type
-    || '", "props.k": ' || (props::JSON->>'k') || '}'"""
+_EVENT_JSON = """'{"ts":' || (epoch_us(ts) // 1000) || ',"user_id":' || user_id || ',"event_type":"' || event_type
+    || '","props.k":' || (props::JSON->>'k') || '}'"""
 
 
 @area.add(f"""

@@ -163,6 +163,14 @@ def test_document_log_replay_and_alias(spark):
     assert log.newest(0).count() == 60
 
 
+def test_collections_named_like_numbers(spark):
+    frame = TimeFrame("", "DAYS", 1, "yyyyMMdd")
+    log = DocumentLog(spark, workspace(spark, "log"))
+    log.append(jobs.event_log(_lines(spark), "id", "line", frame).documents, 0)
+    assert {r.collection for r in log.documents().select("collection").collect()} == {"20240101", "20240102", "20240103"}
+    assert {r.collection for r in log.newest(1, order=("ts",)).collect()} == {"20240103"}
+
+
 def test_uncommitted_batches_are_not_read(spark):
     log = DocumentLog(spark, workspace(spark, "log"))
     documents = jobs.event_log(_lines(spark), "id", "line", FRAME).documents
