@@ -187,6 +187,11 @@ def iso_utc(value: Column, date_format: str) -> Column:
     return F.date_format(parsed, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
 
 
+def is_token(text: Column, name: str, library: dict[str, str] | None = None) -> Column:
+    """Whether the whole text is one occurrence of a named pattern."""
+    return text.rlike(Grok(f"%{{{name}}}", library, full_match=True).search_regex)
+
+
 def tokens(text: Column, name: str, library: dict[str, str] | None = None) -> Column:
     """Every substring of the whole text that a named pattern matches, left to right."""
     return F.regexp_extract_all(text, F.lit(Grok(f"%{{{name}}}", library).regex), F.lit(0))

@@ -366,6 +366,14 @@ def event_collection_counts(spark, sf_dir):
     return shard_report(ingest_events(spark, sf_dir).documents, ("collection", "shard"))
 
 
+@area.add(f"SELECT {COLLECTION_SQL} AS collection, {_shard('h', 3)} AS shard, count(*) AS docs FROM ({_IDS}) GROUP BY 1, 2")
+def event_ingest_written(spark, sf_dir):
+    # The whole job: parse, flatten, assign, route, write by collection, and count what is stored.
+    target = workspace(configure(spark), "events")
+    document_log.write_documents(ingest_events(spark, sf_dir).documents, target)
+    return shard_report(spark.read.parquet(target), ("collection", "shard"))
+
+
 @area.add("SELECT event_id::VARCHAR AS id, 'no usable timestamp' AS error FROM events WHERE event_id % 9 = 0")
 def event_rejects(spark, sf_dir):
     line = F.when(F.col("id").cast("bigint") % 9 == 0, F.lit('{"ts":"soon"}')).otherwise(F.col("line"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docflow.functions.grok import Grok
+from docflow.functions.grok import Grok, is_token
 from docflow.operators import logs as L
 from registry import Registry
 from registry import log_lines as lines
@@ -173,3 +173,29 @@ _tokens("token_extract_uri", "URIPROTO", "pages", "page_id", "url", r"[A-Za-z]+(
 def token_extract_ipv4(spark, sf_dir):
     found = L.extract_all_tokens(wide(spark, sf_dir, "documents"), "text", "IPV4", ["doc_id"])
     return found.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Text built from an event, and where a named pattern accepts it as a whole.
+_VALID = {
+    "IP": (lines.SRC, "true"),
+    "HOSTPORT": (f"{lines.HOST} || ':' || {lines.number('event_id', 9)}", "event_id % 9 > 0"),
+    "TIMESTAMP_ISO8601": (lines.ISO_TIME, "true"),
+    "HTTPDATE": (lines.HTTP_TIME, "true"),
+    "DATE_EU": (f"{lines.DAY} || '.' || {lines.number('event_id', 14)} || '.2024'", "event_id % 14 BETWEEN 1 AND 12"),
+    "TIME": (f"{lines.number('event_id', 30)} || ':' || {lines.MINUTE} || ':' || {lines.SECOND}", "event_id % 30 < 24"),
+    "LOGLEVEL": ("case when event_id % 2 = 0 then 'WARNING' else 'LOUD' end", "event_id % 2 = 0"),
+    "DAY": ("case when event_id % 2 = 0 then 'Wednesday' else 'Weds' end", "event_id % 2 = 0"),
+    "NUMBER": (f"case when event_id % 2 = 0 then '-{{0}}.5' else '1.' end || {lines.USER}".replace("{0}", "7"), "true"),
+    "BASE16NUM": (f"'0x' || {lines.EVENT}", "true"),
+    "MAC": (f"'00:1B:44:11:3A:' || lpad({lines.number('event_id', 100)}, 2, '0')", "true"),
+    "PATH": (f"'/var/log/' || event_type || '.' || {lines.EVENT}", "true"),
+    "URI": (f"'https://u@' || {lines.HOST} || ':8080/a/' || event_type || '?k=' || {lines.EVENT}", "true"),
+    "UUID": (f"lpad({lines.EVENT}, 8, '0') || '-0000-0000-0000-' || lpad({lines.USER}, 12, '0')", "true"),
+    "QUOTEDSTRING": ("case when event_id % 2 = 0 then '\"' || event_type || '\"' else '\"' || event_type end", "event_id % 2 = 0"),
+}
+
+
+@area.add(f"SELECT event_id, {', '.join(f'({valid}) AS {name.lower()}' for name, (_, valid) in _VALID.items())} FROM events")
+def token_validate(spark, sf_dir):
+    checks = [is_token(F.expr(text), name).alias(name.lower()) for name, (text, _) in _VALID.items()]
+    return wide_events(spark, sf_dir).select("event_id", *checks)

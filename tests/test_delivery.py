@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 import time
 
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 from docflow.functions.timeframes import TimeFrame
 from docflow.operators import batches, upsert
 from docflow.operators.collections import collection_registry
+from docflow.operators.filters import by_id
 from docflow.operators.ranking import first_per_group, number_rows
 from docflow.plans import jobs
 from docflow.session import checkpoint_root, workspace
@@ -18,6 +20,7 @@ from docflow.streaming import delivery as S
 from docflow.streaming.document_log import DocumentLog, finish, start_ingest, write_documents
 from docflow.streaming.progress import ProgressReport, counted
 
+VOCABULARY = "alpha beta gamma delta epsilon zeta eta theta iota".split()
 FRAME = TimeFrame("e_", "HOURS", 12, "yyMMdd_HH")
 
 
@@ -256,6 +259,18 @@ def test_shedding_inside_a_stream(spark, tmp_path):
     assert log.documents().count() == 7
 
 
+def test_wide_json_documents_are_found_by_id(spark):
+    words = random.Random(5150)
+    record = {"id": "wide", **{f"f{i}_s": " ".join(words.choices(VOCABULARY, k=words.randint(1, 1000))) for i in range(200)}}
+    lines = spark.createDataFrame([("1", '{"id":"1","text":"foo","number":10}'), ("2", json.dumps(record))], "key string, line string")
+    documents = jobs.json_paths_job(lines, "key", "line", "main").documents
+    found = json.loads(by_id(documents, "2").first().json)
+    assert found == record
+    assert json.loads(by_id(documents, "1").first().json) == {"id": "1", "text": "foo", "number": 10}
+    flat = jobs.event_log(lines.withColumn("line", F.concat(F.lit('{"ts":1,'), F.expr("substr(line, 2)"))), "key", "line", FRAME).documents
+    assert json.loads(by_id(flat, "wide").first().json) == {"ts": 1, **record}
+
+
 def test_rejected_events(spark):
     lines = spark.createDataFrame(
         [("1", '{"ts":1704067200001}'), ("2", '{"ts":"2024-01-01T13:00:00Z"}'), ("3", "{"), ("4", '{"x":1}'), ("5", "[]"), ("6", "")],

@@ -139,6 +139,41 @@ def test_iso_dates(spark):
         L.with_iso_date(df, "d", "", "t")
 
 
+def test_long_texts_do_not_exhaust_the_stack(spark):
+    n = 20000
+    texts = {
+        "HOSTNAME": "a." * n, "JAVACLASS": "a." * n + "B", "URIPATH": "/a" * n, "UNIXPATH": "/a" * n, "WINPATH": "C:" + "\\a" * n,
+        "QUOTEDSTRING": '"' + '\\"a' * n + '"', "CISCO_REASON": "some words " * n, "GREEDYDATA": "x" * n,
+    }
+    for name, text in texts.items():
+        df = spark.createDataFrame([(text,)], "t string")
+        assert [r.token for r in L.extract_all_tokens(df, "t", name, []).collect()][0] == text, name
+
+
+def test_rewritten_patterns_match_as_the_originals(spark):
+    originals = {
+        "HOSTNAME": r"\b(?:[0-9A-Za-z][0-9A-Za-z-]{0,62})(?:\.(?:[0-9A-Za-z][0-9A-Za-z-]{0,62}))*(\.?|\b)",
+        "WINPATH": r"(?>[A-Za-z]+:|\\)(?:\\[^\\?*]*)+",
+        "URIPATH": r"(?:/[A-Za-z0-9$.+!*'(){},~:;=@#%_\-]*)+",
+        "JAVACLASS": r"(?:[a-zA-Z0-9-]+\.)+[A-Za-z0-9$_]+",
+        "CISCO_REASON": r"Duplicate TCP SYN|Failed to locate egress interface|Invalid transport field|No matching connection|DNS Response|DNS Query|(?:%{WORD}\s*)*",
+        "QUOTEDSTRING": r"""(?>(?<!\\)(?>"(?>\\.|[^\\"]+)+"|""|(?>'(?>\\.|[^\\']+)+')|''|(?>`(?>\\.|[^\\`]+)+`)|``))""",
+    }
+    texts = [
+        "a.b-c.d..e -x.y 10.0.0.1:80 web-1.example.com. end", r"C:\a\b c?d \\srv\x* E:\\", "//a/b//c?x /d(e) f/g",
+        "at a.b.C$D.run(X.java:1) a..b .c.d x-y.z", "no more words (u1) DNS Query é word-word  ", r"""say "a\"b" 'c' `` "" '\'' "open""",
+        "http://u:p@h.x/a/b;c?d=e#f",
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for name, original in originals.items():
+        for follower in ("", r"\.", " ", r"\w", "/"):
+            now, then = Grok(f"%{{{name}}}{follower}").regex, Grok(f"%{{OLD}}{follower}", {"OLD": original}).regex
+            row = df.select(
+                F.regexp_extract_all("t", F.lit(now), F.lit(0)).alias("now"), F.regexp_extract_all("t", F.lit(then), F.lit(0)).alias("then")
+            )
+            assert all(r.now == r.then for r in row.collect()), (name, follower)
+
+
 def test_tokens(spark):
     text = "ip 10.0.0.1, 300.1.1.1 and 1.2.3.4.5; id 123e4567-e89b-12d3-a456-426614174000; mac 00:1B:44:11:3A:B7"
     df = spark.createDataFrame([(text,)], "t string")
