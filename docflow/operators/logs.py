@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docflow.functions.grok import Grok, iso_utc, tokens
+from docflow.functions.grok import Grok, builtin_library, iso_utc, tokens
 from docflow.functions.let import let
 
 #: Ready-made patterns for common log formats.
@@ -39,31 +39,9 @@ PRESETS = (
 # Some of its layouts end in a lazy field, which an unanchored find would leave empty.
 _FULL_MATCH = {"NAGIOSLOGLINE"}
 
-#: Message layout of each firewall tag; the tag is ``facility-level-number``.
+#: Message numbers of each firewall layout; the layouts are named after them.
 FIREWALL_LAYOUTS = {
-    "CISCOFW106001": ("106001",),
-    "CISCOFW106006_106007_106010": ("106006", "106007", "106010"),
-    "CISCOFW106014": ("106014",),
-    "CISCOFW106015": ("106015",),
-    "CISCOFW106021": ("106021",),
-    "CISCOFW106023": ("106023",),
-    "CISCOFW106100": ("106100",),
-    "CISCOFW110002": ("110002",),
-    "CISCOFW302010": ("302010",),
-    "CISCOFW302013_302014_302015_302016": ("302013", "302014", "302015", "302016"),
-    "CISCOFW302020_302021": ("302020", "302021"),
-    "CISCOFW305011": ("305011",),
-    "CISCOFW313001_313004_313008": ("313001", "313004", "313008"),
-    "CISCOFW313005": ("313005",),
-    "CISCOFW402117": ("402117",),
-    "CISCOFW402119": ("402119",),
-    "CISCOFW419001": ("419001",),
-    "CISCOFW419002": ("419002",),
-    "CISCOFW500004": ("500004",),
-    "CISCOFW602303_602304": ("602303", "602304"),
-    "CISCOFW710001_710002_710003_710005_710006": ("710001", "710002", "710003", "710005", "710006"),
-    "CISCOFW713172": ("713172",),
-    "CISCOFW733100": ("733100",),
+    name: name.removeprefix("CISCOFW").split("_") for name in builtin_library() if name.startswith("CISCOFW")
 }
 
 
