@@ -6,7 +6,7 @@ expression tree doubles at every step; binding the input to a lambda variable ke
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,9 +22,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def chain(value: Column, *steps: Callable[[Column], Column]) -> Column:
-    """Apply ``steps`` one after the other, binding each intermediate result."""
-    bound = F.array(value)
-    for step in steps:
-        bound = F.transform(bound, step)
-    return F.element_at(bound, 1)
+def first_match(cases: Iterable[tuple[Column, Column]]) -> Column:
+    """The value of the first case whose condition holds; NULL if none does."""
+    (condition, value), *rest = cases
+    chosen = F.when(condition, value)
+    for condition, value in rest:
+        chosen = chosen.when(condition, value)
+    return chosen

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docflow.functions.grok import Grok, builtin_library, iso_utc, tokens
-from docflow.functions.let import let
+from docflow.functions.let import first_match, let
 
 #: Ready-made patterns for common log formats.
 PRESETS = (
@@ -97,10 +97,9 @@ def firewall_messages(df: DataFrame, text: str) -> DataFrame:
     """
 
     def by_number(number: Column) -> Column:
-        fields = F
-        for name, numbers in FIREWALL_LAYOUTS.items():
-            fields = fields.when(number.isin(*numbers), preset(name).extract_map(F.col(text)))
-        return fields
+        return first_match(
+            (number.isin(numbers), preset(name).extract_map(F.col(text))) for name, numbers in FIREWALL_LAYOUTS.items()
+        )
 
     header = grok_extract(df, text, "CISCO_TAGGED_SYSLOG")
     return header.withColumn("fields", let(F.substring_index("ciscotag", "-", -1), by_number))

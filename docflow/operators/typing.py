@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.functions.let import let, named
+from docflow.functions.let import first_match, let, named
 
 # The date formats that are tried, in this order.
 DATE_FORMATS = (
@@ -60,10 +60,9 @@ def as_date(text: Column) -> Column:
     zeros = F.regexp_replace(F.regexp_replace(text, "[0-9]", "0"), "(?<=:00|:00[.,]000)[+-]0000$", "Z")
 
     def by_shape(shape: Column) -> Column:
-        chosen = F
-        for date_format in DATE_FORMATS:
-            chosen = chosen.when(shape == _shape(date_format), F.try_to_timestamp(text, F.lit(date_format)))
-        return chosen
+        return first_match(
+            (shape == _shape(date_format), F.try_to_timestamp(text, F.lit(date_format))) for date_format in DATE_FORMATS
+        )
 
     return let(zeros, by_shape)
 

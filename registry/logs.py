@@ -8,7 +8,7 @@ from docflow.functions.grok import Grok, is_token
 from docflow.operators import logs as L
 from registry import Registry
 from registry import log_lines as lines
-from registry.common import events, table, wide, wide_events
+from registry.common import events, wide, wide_events
 
 area = Registry()
 
