@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,15 +56,12 @@ def use_all_cores(df: DataFrame) -> DataFrame:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting: it then gets a temporary folder, which is
-    remembered in the session. On a cluster a machine-local folder would be lost with its
-    executor, so a missing setting is an error there.
+    A session without the setting gets a folder below its warehouse, which every executor reaches,
+    and keeps it.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="docflow-")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set(CHECKPOINT_DIR, root)
     return root
 

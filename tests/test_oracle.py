@@ -37,7 +37,9 @@ def _canonical(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    # Beside the library's own queries, which all have SQL, there may be those of other packages.
+    own = {name for name, query in contract.queries().items() if query.__module__.startswith("registry.")}
+    assert own and own <= contract.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
