@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,3 +119,66 @@ def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
                 yield mixed(np.array([short], np.uint64))
             else:
                 yield np.zeros(0, np.uint64)
+
+
+def by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.Table]]:
+    """Consecutive rows that share ``key``, gathered over batches of a partition sorted by it."""
+    current, held = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy()
+        cuts = np.flatnonzero(np.diff(keys)) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)], strict=True):
+            if held and keys[lo] != current:
+                yield current, pa.Table.from_batches(held)
+                held = []
+            current = int(keys[lo])
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield current, pa.Table.from_batches(held)
+
+
+def spread_join(rows: DataFrame, groups: DataFrame, key: str, salt_on: str, member: str, size: str, how: str = "inner", salts: int = 16) -> DataFrame:
+    """Join each row to its group by ``key`` where one group may hold a third of all rows.
+
+    Rows of a group spread over ``salts`` tasks by a hash of their column ``salt_on``. A group of one
+    row (``size`` is 1) is sent to the task of that row alone, which has the value ``member``.
+    """
+    salt = lambda name: F.pmod(F.xxhash64(name), F.lit(salts)).cast("int")
+    everywhere = F.sequence(F.lit(0), F.lit(salts - 1))
+    spread = groups.withColumn("_salt", F.explode(F.when(F.col(size) > 1, everywhere).otherwise(F.array(salt(member)))))
+    return rows.withColumn("_salt", salt(salt_on)).join(spread.drop(size), [key, "_salt"], how).drop("_salt")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """``id, component`` of every end of ``edges`` (``a, b``): the smallest id it is connected to.
+
+    Large-star and small-star rounds: every node hands its larger, then its smaller neighbours to the
+    smallest node it knows, until nothing changes. Each round is written to the shared folder.
+    """
+
+    def signature(df: DataFrame) -> tuple:
+        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+    ends = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    now = written(ends, "components")
+    last = signature(now)
+    while last[0]:
+        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # Edges point from the larger to the smaller end throughout.
+        large = large.union(now.groupBy("u").agg(F.min("v").alias("v"))).distinct()
+        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        kept = lowest.select("u", F.col("m").alias("v"))
+        handed = large.join(lowest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = written(kept.union(handed).distinct(), "components")
+        found = signature(now)
+        if found == last:
+            break
+        last = found
+    root = now.select(F.col("v").alias("id"), F.col("v").alias("component"))
+    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(root).groupBy("id").agg(
+        F.min("component").alias("component")
+    )
