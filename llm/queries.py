@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import ann, chat, language, minhash, mixing, warc
+from llm import ann, chat, language, minhash, mixing, suffix, warc
 from llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op2_chat_perspectives(spark, sf_dir):
     return seen.withColumn("spans", F.array_join(spans, ","))
 
 
+@query()
+def op3_suffix_array(spark, sf_dir):
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
+
+
 @query()
 def op4_warc(spark, sf_dir):
     files = warc.archive(spark, table(spark, sf_dir, "pages"))
