@@ -7,10 +7,11 @@ of four registers propose candidate pairs, the share of equal registers, correct
 chance, estimates their similarity, and the full sets decide.
 
 Equal sets form one class and go on as one. Within a band's bucket every class is first paired with
-the smallest only; after those links have been verified and connected, pairs are formed
-between classes of a bucket that are still apart, in blocks of bounded size. So a bucket of thousands
-of near copies costs about as many pairs as it has members, and no link that could connect two
-components is left out.
+the smallest only. Once those links have been verified and connected, buckets that still hold several
+components propose a spanning forest of their most similar pairs. What is still apart then is tested
+on full sets inside blocks of bounded size, which return the links found, not the pairs tested. So a
+bucket of thousands of near copies costs about as many pairs as it has members, and no link that
+connects two components is left out.
 """
 
 from __future__ import annotations
@@ -120,11 +121,12 @@ def _bands(nodes: DataFrame) -> DataFrame:
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                raw = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+                key = band_keys(_registers(batch.column("registers"))).ravel()
                 ids = np.repeat(batch.column("id").to_numpy(), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(band_keys(raw).ravel()), pa.array(ids)], names=["bucket", "id"])
+                band = np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(band), pa.array(ids)], names=["bucket", "band", "id"])
 
-    return nodes.select("id", "registers").mapInArrow(keys, "bucket long, id long")
+    return nodes.select("id", "registers").mapInArrow(keys, "bucket long, band int, id long")
 
 
 def _registers(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -149,10 +151,8 @@ def _plausible_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFr
     return sized.mapInArrow(look, "a long, b long, similar double")
 
 
-def verified(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose full shingle sets are as similar as wanted."""
-    pairs = written(pairs.select("a", "b"), "pairs")
-    needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+def _sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id, shingles`` of the rows whose id is in ``ids``, written; an id with several texts has several."""
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -162,57 +162,118 @@ def verified(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
                 raw = [s.tobytes() for s in shingle_sets(texts[at : at + 256])]
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(at, 256), pa.array(raw, pa.binary())], names=["id", "shingles"])
 
+    wanted = documents.filter(F.col("text").isNotNull()).join(ids, "id", "left_semi")
+    return written(wanted.mapInArrow(shingle, "id long, shingles binary"), "shingle-sets")
+
+
+def _linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """The exact test on two sorted sets."""
+    if not len(one) or not len(two):
+        return False
+    at = np.minimum(np.searchsorted(two, one), len(two) - 1)
+    both = int((two[at] == one).sum())
+    return 100 * both >= percent * (len(one) + len(two) - both)
+
+
+def _set(value: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.uint64)
+
+
+def verified(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose full shingle sets are as similar as wanted."""
+    pairs = written(pairs.select("a", "b"), "pairs")
+    sets = _sets(documents, pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column("s_a"), batch.column("s_b")
-            keep = []
-            for x, y in zip(left, right, strict=True):
-                one, two = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(two, one), len(two) - 1)
-                both = int((two[at] == one).sum())
-                keep.append(100 * both >= percent * (len(one) + len(two) - both))
+            sides = zip(batch.column("s_a"), batch.column("s_b"), strict=True)
+            keep = [_linked(_set(x), _set(y), percent) for x, y in sides]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    # A node is the smallest id of its class; where an id has several texts the largest set stands for it.
-    sets = written(
-        documents.filter(F.col("text").isNotNull()).join(needed, "id", "left_semi").mapInArrow(shingle, "id long, shingles binary"),
-        "shingle-sets",
-    )
     side = lambda s: sets.select(F.col("id").alias(s), F.col("shingles").alias(f"s_{s}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(compare, "a long, b long").distinct()
 
 
-def _blocked_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Plausible pairs of different components within a bucket (``bucket, id, n, registers, component``).
+class _Forest:
+    """Union-find over the component names met in one task."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while (above := self.up.get(x, x)) != x:
+            x = above
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.root(x), self.root(y)
+        self.up[max(x, y)] = min(x, y)
 
-    A bucket of more than ``BLOCK`` members is dealt into blocks by a hash of the id, and every two
-    blocks meet once; no task holds more than two blocks.
+
+def _open_members(shared: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components, with their registers."""
+    label = F.coalesce("component", "id").alias("component")
+    placed = shared.select("bucket", "band", "id").join(found, "id", "left").select("bucket", "band", "id", label)
+    apart = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    return placed.join(apart.select("bucket"), "bucket", "left_semi").join(nodes, "id").dropDuplicates(["bucket", "id"])
+
+
+def _blocked_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` that tie the components of each bucket together.
+
+    ``members`` has ``bucket, band, id, n, registers, component``. A bucket of more than ``BLOCK``
+    members is dealt into blocks by a hash of the id, and every two blocks meet once; no task
+    holds more than two blocks. Of the plausible pairs of different components, each looked at
+    in the first band where it agrees, a block proposes a spanning forest by falling estimate. If
+    ``members`` also has ``shingles``, it tests pairs on the full sets instead, passes over
+    those that earlier ones have connected, and returns those that hold.
     """
+    exact = "shingles" in members.columns
     sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (
         members.join(sizes, "bucket")
-        .withColumn("block", block)
-        .withColumn("other", other)
+        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("place", F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")))
-        .select("place", "id", "n", "registers", "component", "block", "other")
+        .drop("bucket", "blocks")
         .repartition("place")
         .sortWithinPartitions("place")
     )
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in by_key(batches, "place"):
-            ids, n, component, block, other = (rows.column(c).to_numpy() for c in ("id", "n", "component", "block", "other"))
+            ids, n, component, block, other, band = (
+                rows.column(c).to_numpy() for c in ("id", "n", "component", "block", "other", "band")
+            )
             registers = _registers(rows.column("registers"))
+            sets = [_set(v) for v in rows.column("shingles")] if exact else None
+            left, right, similar = [], [], []
             for i in range(len(ids)):
                 # Pairs within a block are formed where it meets itself.
                 later = np.flatnonzero((ids > ids[i]) & (component != component[i]) & ((block[i] == other[i]) | (block != block[i])))
-                if len(later):
-                    equal = (registers[later] == registers[i]).sum(axis=1)
-                    good = later[plausible(equal, n[later], np.full(len(later), n[i]), percent)]
-                    if len(good):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(good), ids[i])), pa.array(ids[good])], names=["a", "b"])
+                if not len(later):
+                    continue
+                same = registers[later] == registers[i]
+                first = same.reshape(len(later), BANDS, BAND).all(axis=2).argmax(axis=1) == band[i]
+                later, equal = later[first], same[first].sum(axis=1)
+                sizes_i = np.full(len(later), n[i])
+                good = plausible(equal, n[later], sizes_i, percent)
+                left.append(np.full(int(good.sum()), i))
+                right.append(later[good])
+                similar.append(estimate(equal[good], n[later][good], sizes_i[good]))
+            if not left:
+                continue
+            left, right, similar = map(np.concatenate, (left, right, similar))
+            forest, out = _Forest(), []
+            for at in np.argsort(-similar, kind="stable").tolist():
+                i, j = int(left[at]), int(right[at])
+                x, y = int(component[i]), int(component[j])
+                if forest.root(x) != forest.root(y) and (not exact or _linked(sets[i], sets[j], percent)):
+                    forest.join(x, y)
+                    out.append((ids[i], ids[j]))
+            if out:
+                a, b = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return dealt.mapInArrow(pairs, "a long, b long").distinct()
 
@@ -236,20 +297,21 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     heads = classes.select(F.col("digest"), F.col("first").alias("id"))
     nodes = written(filled.join(heads, ["digest", "id"], "left_semi").select("id", "n", "registers"), "minhash-nodes")
     bands = _bands(nodes)
-    crowded = bands.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z").drop("z")
-    shared = written(bands.join(crowded, "bucket").distinct(), "minhash-buckets")
+    crowded = bands.groupBy("bucket", "band").agg(F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z").drop("z")
+    shared = written(bands.join(crowded, ["bucket", "band"]).distinct(), "minhash-buckets")
     stars = shared.filter("a < id").select("a", F.col("id").alias("b")).distinct()
     likely = _plausible_pairs(stars, nodes, percent)
     # First the most similar of a class's star centres.
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("similar", -F.col("a"))).alias("a"))
     links = written(verified(best, texts, percent), "links")
-    found = written(components(links), "components")
-    label = F.coalesce("component", "id").alias("component")
-    placed = shared.select("bucket", "id").join(found, "id", "left").select("bucket", "id", label)
-    apart = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    open_members = placed.join(apart.select("bucket"), "bucket", "left_semi").join(nodes, "id").distinct()
-    more = verified(_blocked_pairs(open_members, percent), texts, percent)
-    found = components(links.union(more))
+    # Then what ties the components of a bucket together by estimate, and at last, on full sets, every
+    # plausible pair that is still apart.
+    apart = _open_members(shared, nodes, components(links))
+    links = written(links.union(verified(_blocked_pairs(apart, percent), texts, percent)), "links")
+    apart = written(_open_members(shared, nodes, components(links)), "apart")
+    sets = _sets(texts, apart.select("id").distinct())
+    links = links.union(_blocked_pairs(apart.join(sets, "id"), percent))
+    found = components(links)
     named = classes.join(found.withColumnRenamed("id", "first"), "first", "left").select(
         "digest", "first", "members", F.coalesce("component", "first").alias("component")
     )
