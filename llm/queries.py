@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import ann, chat, language, minhash, mixing, suffix, warc
+from llm import ann, chat, invertible, language, minhash, mixing, pseudo_likelihood, suffix, warc
 from llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,11 +55,21 @@ def op5_curriculum_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query()
+def op6_invertible_sketch(spark, sf_dir):
+    return invertible.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_hyperminhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op9_pseudo_likelihood(spark, sf_dir):
+    return pseudo_likelihood.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_subword_language(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
