@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import ann, chat, invertible, language, minhash, mixing, pseudo_likelihood, suffix, warc
+from llm import ann, bpe, chat, invertible, language, minhash, mixing, pseudo_likelihood, suffix, warc
 from llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +61,12 @@ def op6_invertible_sketch(spark, sf_dir):
     return invertible.fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op7_byte_bpe(spark, sf_dir):
+    vocabulary = bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.encode(table(spark, sf_dir, "documents"), vocabulary, with_values=False).drop("ids", "decoded")
+
+
 @query()
 def op8_hyperminhash(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
