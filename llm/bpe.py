@@ -31,7 +31,7 @@ from docflow.functions.let import let
 from docflow.session import pin_file_splits, workspace
 from llm.warc import _open
 
-# A fold's work grows with the square of the word's length; longer words go to a heap.
+# A fold's work grows with the square of the word's length; longer words go to a heap, in the tasks that use them.
 FOLD_BYTES = 256
 NO_RANK = 1 << 30
 _KEYS, _SLOTS = 1 << 16, 1 << 18
@@ -98,8 +98,13 @@ def encode_word(word: Column, vocabulary: Vocabulary) -> Column:
     moves, slots = vocabulary.pair_table()
     of_byte = [vocabulary.ranks[bytes([b])] for b in range(256)]
     size = len(slots)
+    # Pairs of single bytes, where every fold starts, have a table of their own.
+    of_two = [vocabulary.ranks.get(bytes([a, b]), NO_RANK) for a in range(256) for b in range(256)]
     tables = F.struct(
-        _literal(moves, "int").alias("moves"), _literal(slots, "bigint").alias("slots"), _literal(of_byte, "int").alias("bytes")
+        _literal(moves, "int").alias("moves"),
+        _literal(slots, "bigint").alias("slots"),
+        _literal(of_byte, "int").alias("bytes"),
+        _literal(of_two, "int").alias("twos"),
     )
 
     def merge(t: Column, left: Column, right: Column) -> Column:
@@ -112,12 +117,13 @@ def encode_word(word: Column, vocabulary: Vocabulary) -> Column:
         return let(entry, lambda e: F.when((e >= 0) & (F.shiftright(e, 20) == key), e.bitwiseAND((1 << 20) - 1).cast("int")).otherwise(NO_RANK))
 
     def folded(t: Column) -> Column:
-        digits = F.hex(word)
-        places = F.sequence(F.lit(0), F.length(word) - 1)
-        tokens = F.transform(places, lambda i: F.get(t["bytes"], F.conv(F.substring(digits, 2 * i + 1, F.lit(2)), 16, 10).cast("int")))
-        ranks = lambda p: F.transform(
-            F.slice(p, F.lit(1), F.size(p) - 1), lambda a, i: merge(t, a, F.get(p, i + 1))
-        )
+        # In Latin-1 every byte is one character, whose code is the byte.
+        codes = F.transform(F.split(F.decode(word, "ISO-8859-1"), ""), lambda c: F.ascii(c))
+
+        def begin(p: Column) -> Column:
+            tokens = F.transform(p, lambda b: F.get(t["bytes"], b))
+            ranks = F.transform(F.slice(p, F.lit(1), F.size(p) - 1), lambda b, i: F.get(t["twos"], b * 256 + F.get(p, i + 1)))
+            return F.struct(tokens.alias("tokens"), ranks.alias("ranks"))
 
         def step(state: Column) -> Column:
             least = F.array_min(state["ranks"])
@@ -140,8 +146,8 @@ def encode_word(word: Column, vocabulary: Vocabulary) -> Column:
                 let(F.struct(least.alias("low"), F.array_position(state["ranks"], least).cast("int").alias("i")), lambda m: merged_at(m["low"], m["i"]))
             )
 
-        start = let(tokens, lambda p: F.struct(p.alias("tokens"), ranks(p).alias("ranks")))
-        return F.aggregate(F.slice(places, F.lit(1), F.length(word) - 1), start, lambda s, _: step(s), lambda s: s["tokens"])
+        steps = F.slice(F.sequence(F.lit(1), F.length(word)), F.lit(1), F.length(word) - 1)
+        return F.aggregate(steps, let(codes, begin), lambda s, _: step(s), lambda s: s["tokens"])
 
     return let(tables, folded)
 
@@ -182,7 +188,8 @@ def _numbered(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def word_table(documents: DataFrame, vocabulary: Vocabulary, folder: str) -> None:
     """Write the ids of the distinct words of each split of ``split, text`` below ``folder``.
 
-    Words that are tokens by themselves need no merging and are left out.
+    Words that are tokens by themselves need no merging and are left out. Words too long for a fold
+    have no ids yet.
     """
     ranks, pattern = vocabulary.ranks, vocabulary.pattern
 
@@ -209,17 +216,8 @@ def word_table(documents: DataFrame, vocabulary: Vocabulary, folder: str) -> Non
     used = documents.select("split", "text").mapInArrow(words, "split long, word binary")
     # A word's list holds each split at most once (twice, if one comes in two parts).
     grouped = used.groupBy("word").agg(F.collect_set("split").alias("splits"))
-    short = grouped.filter(F.length("word") <= FOLD_BYTES).select("word", encode_word(F.col("word"), vocabulary).alias("ids"), "splits")
-
-    def long_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [encode_long(w, ranks) for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), pa.array(ids, pa.list_(pa.int32())), batch.column("splits")], names=["word", "ids", "splits"]
-            )
-
-    rest = grouped.filter(F.length("word") > FOLD_BYTES).mapInArrow(long_words, "word binary, ids array<int>, splits array<long>")
-    spread = short.unionByName(rest).select(F.explode("splits").alias("split"), "word", "ids")
+    ids = F.when(F.length("word") <= FOLD_BYTES, encode_word(F.col("word"), vocabulary))
+    spread = grouped.select("word", ids.alias("ids"), "splits").select(F.explode("splits").alias("split"), "word", "ids")
     spread.repartition("split").write.partitionBy("split").parquet(folder)
 
 
@@ -256,9 +254,9 @@ def encode(
             out = []
             for split, number, text in zip(*(batch.column(c).to_pylist() for c in ("split", "id", "text")), strict=True):
                 if split != current:
-                    current, known = split, _Words(alone, _load(folder, split))
-                ids = b"".join([known[w] for w in find(text)])
-                decoded = b"".join([pieces[i] for i in np.frombuffer(ids, "<u4").tolist()])
+                    current, known = split, _Words(alone, _load(folder, split), ranks)
+                ids = b"".join(map(known.__getitem__, find(text)))
+                decoded = b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
                 out.append((number, ids if with_values else None, len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded if with_values else None, hashlib.sha256(decoded).hexdigest()))
             kinds = (pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.binary(), pa.string())
             columns = list(zip(*out, strict=True)) if out else [[]] * 6
@@ -273,18 +271,22 @@ def encode(
 class _Words(dict):
     """Ids of the words met so far; others are looked up by their bytes, and must be there."""
 
-    def __init__(self, alone: dict[bytes, bytes], rest: dict[bytes, bytes]):
+    def __init__(self, alone: dict[bytes, bytes], rest: dict[bytes, bytes | None], ranks: dict[bytes, int]):
         super().__init__()
-        self.alone, self.rest = alone, rest
+        self.alone, self.rest, self.ranks = alone, rest, ranks
 
     def __missing__(self, word: str) -> bytes:
         raw = word.encode("utf-8", "surrogatepass")
         found = self.alone.get(raw)
-        self[word] = found = self.rest[raw] if found is None else found
+        if found is None:
+            found = self.rest[raw]
+        if found is None:
+            found = np.array(encode_long(raw, self.ranks), "<u4").tobytes()
+        self[word] = found
         return found
 
 
-def _load(folder: str, split: int) -> dict[bytes, bytes]:
+def _load(folder: str, split: int) -> dict[bytes, bytes | None]:
     """The words of a split with their ids; a split without words beyond the tokens has no folder."""
     system, top = _open(f"{folder}/split={split}")
     if system.get_file_info(top).type == pafs.FileType.NotFound:
@@ -299,5 +301,5 @@ def _load(folder: str, split: int) -> dict[bytes, bytes]:
                 flat = lists.flatten().to_numpy().astype("<u4").tobytes()
                 ends = (np.asarray(lists.offsets) - np.asarray(lists.offsets)[0]) * 4
                 for word, lo, hi in zip(batch.column("word").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                    out[word] = flat[lo:hi]
+                    out[word] = flat[lo:hi] if hi > lo else None
     return out
