@@ -22,6 +22,8 @@ FINAL_1 = 0x85EBCA6B
 FINAL_2 = 0xC2B2AE35
 
 _U32 = np.uint32
+# So few long keys left are finished one by one.
+_FEW = 8
 
 
 def _rotate(x: np.ndarray, bits: int) -> np.ndarray:
@@ -37,6 +39,15 @@ def _byte(data: np.ndarray, at: np.ndarray, j: int) -> np.ndarray:
     return data[at + j].astype(_U32) << _U32(8 * j)
 
 
+def _rest_of_key(h: int, raw: np.ndarray) -> int:
+    """The rounds of one key over the rest of its words: plain integers beat arrays of few rows."""
+    scrambled = _scramble(np.frombuffer(raw.tobytes(), "<u4"))
+    for k in scrambled.tolist():
+        h ^= k
+        h = (((h << 13) | (h >> 19)) * 5 + ROUND_ADD) & 0xFFFFFFFF
+    return h
+
+
 def murmur3_of_batch(keys: pa.Array) -> np.ndarray:
     """Unsigned hashes of one Arrow batch of strings (a null slot hashes like an empty string)."""
     raw = keys.cast(pa.large_binary())
@@ -48,8 +59,15 @@ def murmur3_of_batch(keys: pa.Array) -> np.ndarray:
 
     hashes = np.zeros(len(raw), _U32)
     words = length >> 2
-    for i in range(int(words.max(initial=0))):
-        rows = np.flatnonzero(words > i)
+    # Longest first: the keys that still have words are always the first so many.
+    longest = np.argsort(-words, kind="stable")
+    left = np.searchsorted(-words[longest], -np.arange(int(words.max(initial=0))), side="left")
+    for i, n in enumerate(left.tolist()):
+        if n <= _FEW:
+            for row in longest[:n].tolist():
+                hashes[row] = _rest_of_key(int(hashes[row]), data[start[row] + 4 * i : start[row] + 4 * words[row]])
+            break
+        rows = longest[:n]
         at = start[rows] + 4 * i
         word = _byte(data, at, 0) | _byte(data, at, 1) | _byte(data, at, 2) | _byte(data, at, 3)
         hashes[rows] = _rotate(hashes[rows] ^ _scramble(word), 13) * _U32(5) + _U32(ROUND_ADD)

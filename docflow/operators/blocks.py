@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docflow.operators.flatten import BadRecord, json_codec, nests, read_object, scalar_text
+from docflow.operators.flatten import TOO_DEEP, BadRecord, json_codec, nests, read_object, scalar_text, storable
 from docflow.operators.ranking import first_per_group
 
 SEPARATOR = "."
@@ -40,8 +40,8 @@ def nodes(doc_id: str, record: dict, encode: Callable[[object], str]) -> Iterato
             else:
                 fields[name] = value
         yield {
-            "node_id": node_id,
-            "parent_id": parent_id,
+            "node_id": storable(node_id),
+            "parent_id": parent_id and storable(parent_id),
             "depth": depth,
             "ordinal": ordinal,
             "fields": encode(fields) if fields else "{}",
@@ -75,6 +75,8 @@ def _block(doc_id: str | None, text: str | None, decode, encode) -> dict:
         return {"nodes": None if record is None else list(nodes(doc_id, record, encode)), "error": None}
     except BadRecord as bad:
         return {"nodes": None, "error": str(bad)}
+    except RecursionError:
+        return {"nodes": None, "error": TOO_DEEP}
     except ValueError:
         return {"nodes": None, "error": "number out of range"}
 
@@ -115,18 +117,22 @@ def block_rejects(parsed: DataFrame) -> DataFrame:
 
 
 def fetch_blocks(
-    parents: DataFrame, children: DataFrame, parent_key: str, child_key: str, order: list[str], limit: int = 100
+    parents: DataFrame, children: DataFrame, parent_key: str, child_key: str, order: list[str], limit: int
 ) -> DataFrame:
     """Parents with up to ``limit`` of their children, in ``order``, as the array ``children``.
 
     The limit is the feature: it is applied before anything is gathered, so the list of a parent
-    with any number of children stays small. Parents without children get an empty list.
+    with any number of children stays small; ``n_children`` tells how many there are. Parents
+    without children get an empty list.
     """
     kept = first_per_group(children, [child_key], order, limit)
     rest = [c for c in children.columns if c != child_key and c not in order]
     listed = kept.groupBy(F.col(child_key).alias("_parent")).agg(
         F.sort_array(F.collect_list(F.struct(*order, *rest))).alias("children")
     )
+    counts = children.groupBy(F.col(child_key).alias("_parent")).agg(F.count(F.lit(1)).alias("n_children"))
     empty = F.array().cast(listed.schema["children"].dataType)
-    joined = parents.join(listed, F.col(parent_key) == F.col("_parent"), "left").drop("_parent")
-    return joined.withColumn("children", F.coalesce("children", empty))
+    joined = parents.join(counts.join(listed, "_parent", "left"), F.col(parent_key) == F.col("_parent"), "left")
+    return joined.drop("_parent").withColumns(
+        {"children": F.coalesce("children", empty), "n_children": F.coalesce("n_children", F.lit(0))}
+    )

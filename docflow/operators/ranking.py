@@ -6,21 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Up to this many rows per group Spark applies the limit in every task before it shuffles.
-_LIMITED_BEFORE_SHUFFLE = 1000
-
-
 def first_per_group(df: DataFrame, keys: list[str], order: list[str | Column], n: int, salts: int | None = None) -> DataFrame:
     """The first ``n`` rows of each group in ``order``, exactly.
 
     Ranking and filtering this way lets Spark keep only the first ``n`` rows of a group in each
-    task before the shuffle, so a hot group arrives already cut down. A larger ``n`` is beyond
-    that optimisation: then (or when ``salts`` is given) groups are ranked twice, first in up to
-    ``salts`` parts made of input partitions, and no task sees more than ``salts * n`` rows of one
-    group at the end. Which part a row falls into does not affect the result.
+    task before the shuffle, so a hot group arrives already cut down (up to the session's
+    ``spark.sql.optimizer.windowGroupLimitThreshold``). With ``salts`` groups are ranked twice, first
+    in so many parts made of input partitions, and no task sees more than ``salts * n`` rows of
+    one group at the end. Which part a row falls into does not affect the result.
     """
-    if salts is None and n > _LIMITED_BEFORE_SHUFFLE:
-        salts = 64
     if salts:
         salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
         df = _first(salted, [*keys, "_salt"], order, n).drop("_salt")

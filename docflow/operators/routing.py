@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from docflow.functions.hashing import murmur3, shard_of_hash, spread_of_hash
 
 INT_MIN, INT_MAX = -(1 << 31), (1 << 31) - 1
-#: Ranges a layout may have; its lookup table is broadcast.
-MAX_RANGES = 10_000
 
 
 def tasks_per_shard(total_tasks: int, shards: int) -> int:
@@ -62,8 +60,6 @@ def check_layout(ranges: list[ShardRange]) -> list[ShardRange]:
     """The ranges in order, if together they cover every hash exactly once."""
     if not ranges:
         raise ValueError("the layout has no shards; implicit routing is not supported")
-    if len(ranges) > MAX_RANGES:
-        raise ValueError(f"a layout may have at most {MAX_RANGES} ranges")
     ordered = sorted(ranges, key=lambda r: r.low)
     expected = INT_MIN
     for r in ordered:
@@ -83,28 +79,35 @@ def equal_ranges(names: list[str]) -> list[ShardRange]:
 
 
 def layout_table(spark: SparkSession, ranges: list[ShardRange]) -> DataFrame:
-    """The layout as a lookup table: a row for each (top byte of the hash, range it meets)."""
+    """The layout as a lookup table: a row for each (leading bits of the hash, range it meets)."""
     ordered = check_layout(ranges)
     lows = [r.low for r in ordered]
     rows = []
-    for top in range(-128, 128):
-        first, last = top << 24, (top << 24) + (1 << 24) - 1
+    rest = 32 - leading_bits(ordered)
+    for top in range(INT_MIN >> rest, (INT_MAX >> rest) + 1):
+        first, last = top << rest, (top << rest) + (1 << rest) - 1
         for r in ordered[bisect.bisect_right(lows, first) - 1 : bisect.bisect_right(lows, last)]:
             rows.append((top, r.low, r.high, r.shard))
     return spark.createDataFrame(rows, "top int, low int, high int, owner string")
 
 
+def leading_bits(ranges: list[ShardRange]) -> int:
+    """Bits of the hash to join on: four times as many values as ranges, 256 at least."""
+    return min(32, max(8, len(ranges).bit_length() + 2))
+
+
 def with_owner(df: DataFrame, key: str | Column, ranges: list[ShardRange]) -> DataFrame:
     """Add ``owner``, the shard whose range holds the hash of ``key``; no key means the first shard.
 
-    An equality join on the top byte of the hash with a broadcast table of at most
-    ``MAX_RANGES + 256`` rows; the range test only decides among the few ranges that share a byte.
+    An equality join on the leading bits of the hash, whose number grows with the layout; the range
+    test only decides among the few ranges that share them. Spark broadcasts the table while it
+    is small, and the many join keys of a large one spread a shuffle.
     """
     ordered = check_layout(ranges)
-    hashed = df.withColumn("_hash", murmur3(key)).withColumn("_top", F.shiftright("_hash", 24))
+    hashed = df.withColumn("_hash", murmur3(key)).withColumn("_top", F.shiftright("_hash", 32 - leading_bits(ordered)))
     table = layout_table(df.sparkSession, ordered)
     fits = (F.col("_top") == F.col("top")) & F.col("_hash").between(F.col("low"), F.col("high"))
-    joined = hashed.join(F.broadcast(table), fits, "left")
+    joined = hashed.join(table, fits, "left")
     return joined.withColumn("owner", F.coalesce("owner", F.lit(ordered[0].shard))).drop(
         "_hash", "_top", "top", "low", "high"
     )

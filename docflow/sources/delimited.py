@@ -72,10 +72,16 @@ def parse_delimited(
 
 
 def _lines_below_header(spark: SparkSession, path: str | list[str], glob: str | None) -> DataFrame:
-    """All lines but the first of each file, as one column: the separator never occurs."""
+    """All lines but the first of each file, as one column.
+
+    A line that holds the separator has too many cells; the reader then hands over the whole line.
+    """
     reader = spark.read if glob is None else spark.read.option("pathGlobFilter", glob)
-    lines = reader.schema("value string").csv(path, header=True, enforceSchema=True, sep="\u0001", quote="\u0000", escape="\u0000")
-    return lines.select(F.coalesce("value", F.lit("")).alias("value"), F.col("_metadata.file_path").alias("file"))
+    lines = reader.schema("value string, _line string").csv(
+        path, header=True, enforceSchema=True, sep="\u0001", quote="\u0000", escape="\u0000",
+        mode="PERMISSIVE", columnNameOfCorruptRecord="_line",
+    )
+    return lines.select(F.coalesce("_line", "value", F.lit("")).alias("value"), F.col("_metadata.file_path").alias("file"))
 
 
 def delimited_documents(parsed: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 MALFORMED = "malformed JSON"
 NOT_AN_OBJECT = "not a JSON object"
+TOO_DEEP = "malformed JSON or nested too deeply"
+PARSER_LEVELS = 900
 
 
 def parse_json_lines(lines: DataFrame, text: str = "value", record: str = "record") -> DataFrame:
@@ -14,7 +16,9 @@ def parse_json_lines(lines: DataFrame, text: str = "value", record: str = "recor
 
     A repeated key keeps its last value (see ``session.configure``).
     """
-    body = F.ltrim(F.col(text))
+    body = F.ltrim(F.col(text), F.lit(" \t\r\n"))
+    # The parser takes about a thousand levels; brackets beyond that may be depth or not.
+    brackets = F.length(F.regexp_replace(F.col(text), r"[^\[{]", ""))
     parsed = (
         lines.filter(F.length(text) > 0)
         .withColumn(record, F.try_parse_json(F.col(text)))
@@ -22,7 +26,7 @@ def parse_json_lines(lines: DataFrame, text: str = "value", record: str = "recor
     )
     # Text that parses and opens with a brace is an object; no need to take the value apart.
     error = (
-        F.when(F.col(record).isNull(), MALFORMED)
+        F.when(F.col(record).isNull(), F.when(brackets > PARSER_LEVELS, TOO_DEEP).otherwise(MALFORMED))
         .when(~body.startswith("{"), NOT_AN_OBJECT)
         .otherwise(F.lit(None).cast("string"))
     )

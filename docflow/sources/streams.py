@@ -8,9 +8,8 @@ from pyspark.sql import types as T
 
 from docflow.operators.ranking import first_per_group
 
-# Id prefix of status records and size of their waiting queue.
+# Fixed value: id prefix of status records.
 STATUS_PREFIX = "tweet-"
-QUEUE_SLOTS = 1000
 
 
 def arriving_lines(spark: SparkSession, folder: str, max_files: int | None = None, glob: str | None = None) -> DataFrame:
@@ -41,10 +40,15 @@ def with_status_id(df: DataFrame, id_col: str, prefix: str = STATUS_PREFIX) -> D
     return df.withColumn("id", F.concat(F.lit(prefix), F.col(id_col).cast("string")))
 
 
-def shed_load(df: DataFrame, source: str, arrival: list[str | Column], slots: int = QUEUE_SLOTS) -> DataFrame:
+def shed_load(df: DataFrame, source: str, arrival: list[str | Column], slots: int) -> DataFrame:
     """Keep the first ``slots`` records of each source by arrival and drop the rest.
 
     For one micro-batch (inside ``foreachBatch``) or a batch DataFrame. Blocking instead of
     shedding needs no operator: Spark pulls its input.
     """
     return first_per_group(df, [source], arrival, slots)
+
+
+def shed_counts(df: DataFrame, source: str, slots: int) -> DataFrame:
+    """How many records ``shed_load`` drops of each source: ``source, shed``."""
+    return df.groupBy(source).agg(F.greatest(F.count(F.lit(1)) - slots, F.lit(0)).alias("shed"))

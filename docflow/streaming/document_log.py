@@ -32,16 +32,24 @@ def write_documents(
 class DocumentLog:
     """An append-only log of documents in a shared folder.
 
-    A batch is written to its own folder, which a replay of the same batch overwrites, and becomes
-    visible with its manifest: one row per collection, written last. Repeated delivery therefore
-    changes nothing, and a failed attempt is never read.
+    A batch is written to its own folder and becomes visible with its manifest: one row per
+    collection, written last. A batch that is already committed is not written again, so repeated
+    delivery changes nothing, no committed file is ever touched, and a failed attempt is never read.
+    Batches may have different columns; a document has NULL in those that its batch lacks.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: tuple[str, ...] = (COLLECTION, "id")):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
 
     def append(self, batch: DataFrame, batch_id: int) -> None:
-        """Write one batch, all of it, and then commit it."""
+        """Write one batch, all of it, and then commit it.
+
+        Documents get a ``seq`` that grows in the order of the batch, unless they have one.
+        """
+        if self.committed(batch_id):
+            return
+        if "seq" not in batch.columns:
+            batch = batch.withColumn("seq", F.monotonically_increasing_id())
         folder = f"{self.path}/documents/batch_id={batch_id}"
         write_documents(batch, folder, mode="overwrite")
         # Counted from the files just written, so the input is evaluated once.
@@ -49,6 +57,11 @@ class DocumentLog:
         manifest = written.groupBy(COLLECTION).agg(F.count(F.lit(1)).alias("docs"))
         manifest.write.mode("overwrite").parquet(f"{self.path}/manifest/batch_id={batch_id}")
 
+    def committed(self, batch_id: int) -> bool:
+        """Whether the manifest of a batch is complete."""
+        done = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest/batch_id={batch_id}/_SUCCESS")
+        return done.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(done)
+
     def manifest(self) -> DataFrame:
         """Committed batches: ``batch_id, collection, docs``."""
         schema = f"{COLLECTION} string, docs bigint, batch_id bigint"
@@ -60,7 +73,7 @@ class DocumentLog:
 
     def documents(self) -> DataFrame:
         """All committed document versions, with their ``batch_id``."""
-        found = self.spark.read.parquet(f"{self.path}/documents").schema
+        found = self.spark.read.option("mergeSchema", True).parquet(f"{self.path}/documents").schema
         # Folder names are text: a collection called 20240101 or 2024-01-01 must not change type.
         kinds = {COLLECTION: T.StringType(), "batch_id": T.LongType()}
         schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found.fields])

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import time
-from collections import deque
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -28,11 +28,11 @@ def counted(df: DataFrame, name: str | Observation, **conditions: Column) -> Dat
 
 
 class ProgressReport(StreamingQueryListener):
-    """Logs the progress of all streams at most once per period and remembers the last events."""
+    """Logs the progress of all streams at most once per period and keeps every event until it is stored."""
 
-    def __init__(self, seconds: float = REPORT_SECONDS, remember: int = 1000):
+    def __init__(self, seconds: float = REPORT_SECONDS):
         self.seconds = seconds
-        self.events: deque[dict] = deque(maxlen=remember)
+        self.events: list[dict] = []
         self._reported = float("-inf")
 
     def onQueryStarted(self, event):
@@ -60,6 +60,12 @@ class ProgressReport(StreamingQueryListener):
     def onQueryTerminated(self, event):
         pass
 
+    def store(self, spark: SparkSession, folder: str) -> None:
+        """Append the events so far to a table of JSON lines and forget them."""
+        done, self.events = self.events, []
+        if done:
+            spark.createDataFrame([(json.dumps(e, default=str),) for e in done], "value string").write.mode("append").text(folder)
+
     def latencies(self) -> list[float]:
         """Milliseconds spent on adding each remembered batch to the sink."""
         return [e["millis"].get("addBatch", 0) for e in self.events]

@@ -21,7 +21,7 @@ from docflow.streaming import delivery, document_log
 from docflow.streaming.progress import counted
 from registry import Registry
 from registry import log_lines as lines
-from registry.common import COLLECTION_SQL, TWELVE_HOURS, events, murmur3_sql, table, wide, wide_events, write_lines
+from registry.common import COLLECTION_SQL, TWELVE_HOURS, events, murmur3_sql, table, write_lines
 from registry.json_records import _BLOCKS_SQL, _FULL_NAMES, order_records
 from registry.routing import _shard
 
@@ -98,10 +98,13 @@ def status_ids(spark, sf_dir):
 
 
 @area.add("""
-    SELECT event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) <= 1000
+    SELECT event_type, event_id, greatest(count(*) OVER (PARTITION BY event_type) - 1000, 0) AS shed
+    FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) <= 1000
 """)
 def shed_per_source(spark, sf_dir):
-    return streams.shed_load(events(spark, sf_dir), "event_type", ["ts", "event_id"]).select("event_type", "event_id")
+    df = events(spark, sf_dir)
+    kept = streams.shed_load(df, "event_type", ["ts", "event_id"], slots=1000).select("event_type", "event_id")
+    return kept.join(streams.shed_counts(df, "event_type", 1000), "event_type")
 
 
 # --- delimited files ---------------------------------------------------------------------------
@@ -230,7 +233,7 @@ _IDS = murmur3_sql("events", "event_id::VARCHAR", "event_id, ts")
 
 @area.add(f"SELECT {COLLECTION_SQL} AS collection, {_shard('h', 3)} AS shard, count(*) AS docs FROM ({_IDS}) GROUP BY 1, 2")
 def partitioned_write(spark, sf_dir):
-    named = C.routed(C.time_frame_collection(wide_events(spark, sf_dir), "ts", TWELVE_HOURS))
+    named = C.routed(C.time_frame_collection(events(spark, sf_dir), "ts", TWELVE_HOURS))
     target = workspace(spark, "documents")
     document_log.write_documents(with_shard(named, F.col("event_id"), 3, 2), target)
     return shard_report(spark.read.parquet(target), ("collection", "shard"))
@@ -265,7 +268,7 @@ def _refuse_first(endpoint: str, collection: str, documents: list[str]) -> None:
 
 def _to_send(spark, sf_dir):
     text = F.to_json(F.struct("event_id", "user_id"))
-    return wide_events(spark, sf_dir).select(F.col("event_type").alias("collection"), text.alias("json"))
+    return events(spark, sf_dir).select(F.col("event_type").alias("collection"), text.alias("json"))
 
 
 def _receipts(spark, documents, deliver, batch_size=delivery.BATCH_SIZE):
@@ -340,7 +343,7 @@ def event_lines(spark, sf_dir):
     """Events as JSON lines with an epoch-millisecond ``ts`` and nested ``props``."""
     props = F.from_json("props", "k bigint").alias("props")
     record = F.struct(F.unix_millis("ts").alias("ts"), "user_id", "event_type", props)
-    return wide_events(spark, sf_dir).select(F.col("event_id").cast("string").alias("id"), F.to_json(record).alias("line"))
+    return events(spark, sf_dir).select(F.col("event_id").cast("string").alias("id"), F.to_json(record).alias("line"))
 
 
 def ingest_events(spark, sf_dir, shards: int = 3, tasks: int = 2) -> jobs.Ingest:
@@ -402,7 +405,7 @@ def csv_documents(spark, sf_dir):
 """)
 def status_documents(spark, sf_dir):
     layout = equal_ranges(["s0", "s1", "s2"])
-    df = wide(spark, sf_dir, "documents")
+    df = table(spark, sf_dir, "documents")
     documents = jobs.status_stream(df, "doc_id", "text", "statuses", layout, one_in=2).documents
     return documents.select("id", "collection", "owner", "lang_s", "source_s", "n_chars_l")
 
@@ -454,7 +457,7 @@ def block_children(spark, sf_dir):
     documents = jobs.nested_blocks(order_records(spark, sf_dir), "o_orderkey", "record", "orders").documents
     parents = documents.filter("depth = 0").select("root_id")
     children = documents.filter("depth = 1").select("parent_id", "doc_id")
-    fetched = blocks.fetch_blocks(parents, children, "root_id", "parent_id", ["doc_id"])
+    fetched = blocks.fetch_blocks(parents, children, "root_id", "parent_id", ["doc_id"], limit=100)
     return fetched.select("root_id", F.size("children").alias("children"))
 
 

@@ -13,14 +13,14 @@ from docflow.operators import flatten as N
 from docflow.operators import json_paths as P
 from docflow.sources import json_lines as J
 from registry import Registry
-from registry.common import table, wide, wide_events
+from registry.common import table, events
 
 area = Registry()
 
 
 @area.add("SELECT event_id, (props::JSON->>'k')::BIGINT AS k FROM events")
 def json_lines(spark, sf_dir):
-    good = J.accepted(J.parse_json_lines(wide_events(spark, sf_dir), "props"))
+    good = J.accepted(J.parse_json_lines(events(spark, sf_dir), "props"))
     return good.select("event_id", F.try_variant_get("record", "$.k", "bigint").alias("k"))
 
 
@@ -34,7 +34,7 @@ def _broken(spark, sf_dir):
         F.when(kind == 0, F.substring("props", 1, 4)).when(kind == 1, F.concat(F.lit("["), "props", F.lit("]")))
         .when(kind == 2, "null").when(kind == 3, "").when(kind == 4, '"text"').otherwise(F.col("props"))
     )
-    return wide_events(spark, sf_dir).select("event_id", text.alias("value"))
+    return events(spark, sf_dir).select("event_id", text.alias("value"))
 
 
 _OUTCOME = """
@@ -58,7 +58,7 @@ def json_flatten_errors(spark, sf_dir):
 
 @area.add("SELECT event_id::VARCHAR AS event_id, 'k' AS path, props::JSON->>'k' AS value FROM events")
 def json_flatten_events(spark, sf_dir):
-    documents = N.flat_documents(N.flatten_json(wide_events(spark, sf_dir), "props"), "event_id")
+    documents = N.flat_documents(N.flatten_json(events(spark, sf_dir), "props"), "event_id")
     leaves = N.to_leaves(documents, "event_id")
     return leaves.select("event_id", "path", as_text(F.col("value")).alias("value"))
 
@@ -76,7 +76,7 @@ def order_records(spark, sf_dir, as_json: bool = True):
         F.col("o_orderpriority").alias("priority"), customer.alias("customer"), items.alias("items"), grid.alias("grid"),
         F.array().cast("array<string>").alias("empty"), none.alias("nothing"),
     )
-    df = wide(spark, sf_dir, "orders")
+    df = table(spark, sf_dir, "orders")
     return df.select("o_orderkey", (F.to_json(record) if as_json else record).alias("record"))
 
 
@@ -122,7 +122,7 @@ def json_flatten_own_ids(spark, sf_dir):
     own = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('"id":"own'), "event_id", F.lit('",'))).otherwise("")
     tail = F.when(F.col("event_id") % 3 == 0, ",5").otherwise("")
     text = F.concat(F.lit("{"), own, F.lit('"a":{"b":[{"c":'), "user_id", F.lit("}"), tail, F.lit("]}}"))
-    df = wide_events(spark, sf_dir).select("event_id", text.alias("value"))
+    df = events(spark, sf_dir).select("event_id", text.alias("value"))
     documents = N.flat_documents(N.flatten_json(df, "value", "/"), "event_id")
     leaves = N.to_leaves(documents, "event_id")
     return leaves.select("event_id", "path", as_text(F.col("value")).alias("value"))
@@ -132,7 +132,7 @@ def json_flatten_own_ids(spark, sf_dir):
 def json_flatten_rejects(spark, sf_dir):
     tail = F.when(F.col("event_id") % 3 == 0, ",5").otherwise("")
     text = F.concat(F.lit('{"a":[{"c":'), "user_id", F.lit("}"), tail, F.lit("]}"))
-    df = wide_events(spark, sf_dir).select("event_id", text.alias("value"))
+    df = events(spark, sf_dir).select("event_id", text.alias("value"))
     return N.flat_rejects(N.flatten_json(df, "value")).select("event_id", "error")
 
 
@@ -174,14 +174,16 @@ _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
       SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(_LINE_ORDER)}, l_extendedprice) AS rn FROM lineitem),
     kept AS (SELECT l_orderkey, string_agg(l_linenumber || ':' || l_partkey, ',' ORDER BY rn) AS lines, count(*) AS n
       FROM ranked WHERE rn <= 3 GROUP BY 1)
-    SELECT o_orderkey, coalesce(lines, '') AS lines, coalesce(n, 0) AS n FROM orders LEFT JOIN kept ON l_orderkey = o_orderkey
+    SELECT o_orderkey, coalesce(lines, '') AS lines, coalesce(n, 0) AS n,
+      coalesce((SELECT count(*) FROM lineitem l WHERE l.l_orderkey = o_orderkey), 0) AS n_children
+    FROM orders LEFT JOIN kept ON l_orderkey = o_orderkey
 """)
 def block_fetch(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *_LINE_ORDER)
     blocks = B.fetch_blocks(orders, lines, "o_orderkey", "l_orderkey", _LINE_ORDER, limit=3)
     texts = F.transform("children", lambda c: F.concat_ws(":", c["l_linenumber"], c["l_partkey"]))
-    return blocks.select("o_orderkey", F.array_join(texts, ",").alias("lines"), F.size("children").alias("n"))
+    return blocks.select("o_orderkey", F.array_join(texts, ",").alias("lines"), F.size("children").alias("n"), "n_children")
 
 
 def _records(spark, sf_dir):

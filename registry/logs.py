@@ -8,7 +8,7 @@ from docflow.functions.grok import Grok, is_token
 from docflow.operators import logs as L
 from registry import Registry
 from registry import log_lines as lines
-from registry.common import events, wide, wide_events
+from registry.common import events, table
 
 area = Registry()
 
@@ -18,7 +18,7 @@ NOISE = "event_id % 7 = 3"
 
 def _lines(spark, sf_dir, line_sql: str):
     line = F.expr(f"case when {NOISE} then 'unrelated ' || event_type else {line_sql} end")
-    return wide_events(spark, sf_dir).select("event_id", line.alias("line"))
+    return events(spark, sf_dir).select("event_id", line.alias("line"))
 
 
 def _columns(fields: dict[str, str]) -> str:
@@ -152,7 +152,7 @@ def _tokens(name: str, token: str, source: str, key: str, text: str, regex: str,
 
     @area.add(sql, name)
     def query(spark, sf_dir):
-        found = L.extract_all_tokens(wide(spark, sf_dir, source), text, token, [key])
+        found = L.extract_all_tokens(table(spark, sf_dir, source), text, token, [key])
         return found.groupBy(key, "token").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -171,7 +171,7 @@ _tokens("token_extract_uri", "URIPROTO", "pages", "page_id", "url", r"[A-Za-z]+(
     GROUP BY 1, 2
 """)
 def token_extract_ipv4(spark, sf_dir):
-    found = L.extract_all_tokens(wide(spark, sf_dir, "documents"), "text", "IPV4", ["doc_id"])
+    found = L.extract_all_tokens(table(spark, sf_dir, "documents"), "text", "IPV4", ["doc_id"])
     return found.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -198,4 +198,4 @@ _VALID = {
 @area.add(f"SELECT event_id, {', '.join(f'({valid}) AS {name.lower()}' for name, (_, valid) in _VALID.items())} FROM events")
 def token_validate(spark, sf_dir):
     checks = [is_token(F.expr(text), name).alias(name.lower()) for name, (text, _) in _VALID.items()]
-    return wide_events(spark, sf_dir).select("event_id", *checks)
+    return events(spark, sf_dir).select("event_id", *checks)

@@ -133,7 +133,7 @@ def test_first_per_group_both_ways(spark):
         assert {r.g: (r.n, r.top) for r in kept.groupBy("g").agg(F.count("*").alias("n"), F.max("v").alias("top")).collect()} == {
             0: (n, 2 * n), 1: (n, 2 * n - 1)
         }
-    plan = streams.shed_load(df, "g", ["v"])._jdf.queryExecution().executedPlan().toString()
+    plan = streams.shed_load(df, "g", ["v"], 1000)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
 

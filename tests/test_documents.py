@@ -111,7 +111,7 @@ def test_block_own_ids_and_rejects(spark):
 def test_fetch_blocks_limits_each_parent(spark):
     parents = spark.range(3)
     children = spark.range(500).select((F.col("id") % 2).alias("parent"), F.col("id").alias("no"))
-    fetched = B.fetch_blocks(parents, children, "id", "parent", ["no"])
+    fetched = B.fetch_blocks(parents, children, "id", "parent", ["no"], limit=100)
     rows = {r.id: [c.no for c in r.children] for r in fetched.collect()}
     assert rows == {0: list(range(0, 200, 2)), 1: list(range(1, 200, 2)), 2: []}
     assert "WindowGroupLimit" in fetched._jdf.queryExecution().executedPlan().toString()
