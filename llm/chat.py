@@ -31,8 +31,8 @@ def rotate(
     a conversation of its own. Repeated rows are turns of their own. A dialogue of context alone has
     no rows. ``spans`` are half-open character ranges within ``text``. Other columns are ignored.
 
-    Dialogues are cut into parts of at most 256 turns (by turn number, then by count), so that no
-    task ever holds a whole long dialogue; the parts of a speaker, in order, are the full rendering.
+    Dialogues are cut into parts of at most 256 turns (by turn number, then by count; turns without
+    a number are a part of their own), so that no task ever holds a whole long dialogue; the parts of a speaker, in order, are the full rendering.
     """
     said = turns.select(
         F.struct(F.col(conv_col).alias("id")).alias("conv"),
@@ -49,7 +49,6 @@ def rotate(
         .agg(F.sort_array(F.collect_list(F.struct("n", "role", "text"))).alias("turns"))
     )
     by_part = Window.partitionBy("conv").orderBy(F.col("block").asc_nulls_last(), "piece")
-    # The window keeps only one row per part: turns are joined back to none of them.
     parts = pieces.withColumn("part", F.row_number().over(by_part) - 1)
     speakers = said.filter(~F.col("role").isin(*context_roles)).select("conv", F.col("role").alias("speaker")).distinct()
     seen = parts.join(speakers, "conv")
