@@ -132,6 +132,20 @@ def _best(ids: np.ndarray, points: np.ndarray, query_ids: np.ndarray, queries: n
     return tuple(np.concatenate(part) for part in zip(*found, strict=True))
 
 
+def _within(found, k: int, limit: dict[int, float]):
+    """Pairs no farther than the limit of their query, which full lists of ``k`` tighten."""
+    query_ids, ids, scores = found
+    starts = np.flatnonzero(np.concatenate([[True], query_ids[1:] != query_ids[:-1]])) if len(query_ids) else []
+    most = np.empty(len(query_ids))
+    for lo, hi in zip(starts, [*starts[1:], len(query_ids)], strict=True):
+        query = int(query_ids[lo])
+        if hi - lo == k:
+            limit[query] = min(limit.get(query, np.inf), float(scores[hi - 1]))
+        most[lo:hi] = limit.get(query, np.inf)
+    keep = scores <= most
+    return query_ids[keep], ids[keep], scores[keep]
+
+
 def _distinct(ids: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     _, first = np.unique(ids, return_index=True)
     return ids[first], points[first]
@@ -243,6 +257,8 @@ def search(
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Within a piece its vectors come first; queries then pass by batch after batch.
         current, ids, points = None, [], []
+        # No neighbour lies beyond the k-th best that one piece has shown; farther pairs are not sent.
+        limit: dict[int, float] = {}
         for batch in batches:
             piece = batch.column("piece").to_numpy()
             kind = batch.column("kind").to_numpy()
@@ -260,7 +276,7 @@ def search(
                 elif ids:
                     one_ids, one_points = _distinct(np.concatenate(ids), np.concatenate(points))
                     ids, points = [one_ids], [one_points]
-                    yield _pairs(_best(one_ids, one_points, own[lo:hi], data[lo:hi], k))
+                    yield _pairs(_within(_best(one_ids, one_points, own[lo:hi], data[lo:hi], k), k, limit))
 
     pairs = meeting.mapInArrow(meet, _PAIRS).groupBy("query_id", "id").agg(F.min("score").alias("score"))
     return _ranked(pairs, k).select("query_id", F.col("rank").cast("int"), F.col("id").alias("vec_id"), "score")

@@ -135,7 +135,7 @@ def fit(
     usable = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     )
-    # Ids are ranked first; texts are fetched for the chosen ones only.
+    # Every task ranks its own rows first and passes on at most so many of each language.
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     chosen = usable.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_language)
 
