@@ -33,6 +33,8 @@ from llm.warc import _open
 
 # A fold's work grows with the square of the word's length; longer words go to a heap, in the tasks that use them.
 FOLD_BYTES = 256
+# Documents whose results are held at once.
+SLICE = 250
 NO_RANK = 1 << 30
 _KEYS, _SLOTS = 1 << 16, 1 << 18
 # Odd numbers below 2**17: no product leaves 64 bits.
@@ -225,13 +227,18 @@ _ENCODED = "id long, ids binary, n_tokens long, ids_sha256 string, decoded binar
 
 
 def encode(
-    documents: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text", with_values: bool = True
+    documents: DataFrame,
+    vocabulary: Vocabulary,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = True,
+    with_decoded: bool = True,
 ) -> DataFrame:
     """One row per document: ``doc_id, ids, n_tokens, ids_sha256, decoded, decoded_sha256``.
 
     ``ids`` are the token ids as little-endian unsigned 32-bit integers, ``decoded`` the bytes they stand
-    for (both NULL unless ``with_values``). Every match of the pattern is encoded separately and
-    nothing is a special token. A NULL text is empty and has no tokens. Missing and repeated ids
+    for (NULL where not asked for). Every match of the pattern is encoded separately and nothing is a
+    special token. A NULL text is empty and has no tokens. Missing and repeated ids
     are kept as they are, an empty table gives no rows, other columns are ignored. The rows must
     come from files, whose splits both passes share; others count as a single split.
     """
@@ -245,19 +252,19 @@ def encode(
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
         pieces = [b""] * (max(ranks.values(), default=-1) + 1)
-        alone = {}
         for word, rank in ranks.items():
             pieces[rank] = word
-            alone[word] = rank.to_bytes(4, "little")
         current, known = None, {}
-        for batch in batches:
+        # Ids and decoded bytes take more room than the text: they leave in small batches.
+        for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             out = []
             for split, number, text in zip(*(batch.column(c).to_pylist() for c in ("split", "id", "text")), strict=True):
                 if split != current:
-                    current, known = split, _Words(alone, _load(folder, split), ranks)
+                    known = {}
+                    current, known = split, _Words(ranks, _load(folder, split, ranks))
                 ids = b"".join(map(known.__getitem__, find(text)))
                 decoded = b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-                out.append((number, ids if with_values else None, len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded if with_values else None, hashlib.sha256(decoded).hexdigest()))
+                out.append((number, ids if with_ids else None, len(ids) // 4, hashlib.sha256(ids).hexdigest(), decoded if with_decoded else None, hashlib.sha256(decoded).hexdigest()))
             kinds = (pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.binary(), pa.string())
             columns = list(zip(*out, strict=True)) if out else [[]] * 6
             yield pa.RecordBatch.from_arrays(
@@ -269,24 +276,18 @@ def encode(
 
 
 class _Words(dict):
-    """Ids of the words met so far; others are looked up by their bytes, and must be there."""
+    """Ids of a split's words; a word that is a token by itself is added when it is first met."""
 
-    def __init__(self, alone: dict[bytes, bytes], rest: dict[bytes, bytes | None], ranks: dict[bytes, int]):
-        super().__init__()
-        self.alone, self.rest, self.ranks = alone, rest, ranks
+    def __init__(self, ranks: dict[bytes, int], words: dict[str, bytes]):
+        super().__init__(words)
+        self.ranks = ranks
 
     def __missing__(self, word: str) -> bytes:
-        raw = word.encode("utf-8", "surrogatepass")
-        found = self.alone.get(raw)
-        if found is None:
-            found = self.rest[raw]
-        if found is None:
-            found = np.array(encode_long(raw, self.ranks), "<u4").tobytes()
-        self[word] = found
+        self[word] = found = self.ranks[word.encode("utf-8", "surrogatepass")].to_bytes(4, "little")
         return found
 
 
-def _load(folder: str, split: int) -> dict[bytes, bytes | None]:
+def _load(folder: str, split: int, ranks: dict[bytes, int]) -> dict[str, bytes]:
     """The words of a split with their ids; a split without words beyond the tokens has no folder."""
     system, top = _open(f"{folder}/split={split}")
     if system.get_file_info(top).type == pafs.FileType.NotFound:
@@ -301,5 +302,7 @@ def _load(folder: str, split: int) -> dict[bytes, bytes | None]:
                 flat = lists.flatten().to_numpy().astype("<u4").tobytes()
                 ends = (np.asarray(lists.offsets) - np.asarray(lists.offsets)[0]) * 4
                 for word, lo, hi in zip(batch.column("word").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                    out[word] = flat[lo:hi] if hi > lo else None
+                    # A word too long for the fold has no ids yet.
+                    ids = flat[lo:hi] if hi > lo else np.array(encode_long(word, ranks), "<u4").tobytes()
+                    out[word.decode("utf-8", "surrogatepass")] = ids
     return out

@@ -64,7 +64,9 @@ def op6_invertible_sketch(spark, sf_dir):
 @query()
 def op7_byte_bpe(spark, sf_dir):
     vocabulary = bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    return bpe.encode(table(spark, sf_dir, "documents"), vocabulary, with_values=False).drop("ids", "decoded")
+    return bpe.encode(table(spark, sf_dir, "documents"), vocabulary, with_ids=False, with_decoded=False).drop(
+        "ids", "decoded"
+    )
 
 
 @query()
