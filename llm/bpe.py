@@ -66,12 +66,13 @@ class Vocabulary:
                 if left is not None and right is not None:
                     pairs[left, right] = rank
         slots = _SLOTS
-        while slots < 2 * len(pairs):
+        while slots < 1.1 * len(pairs):
             slots *= 2
         x, y = np.array([k[0] for k in pairs], np.int64), np.array([k[1] for k in pairs], np.int64)
         merged = np.array(list(pairs.values()), np.int64)
         bucket = (x * _MIX[0] + y * _MIX[1]) & (_KEYS - 1)
         base, stride = x * _MIX[2] + y * _MIX[3], (x * _MIX[4] + y * _MIX[5]) | 1
+        del pairs
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
         groups = sorted(np.split(order, cuts), key=len, reverse=True)

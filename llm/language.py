@@ -90,7 +90,7 @@ class Model:
         return e / e.sum(axis=1, keepdims=True)
 
 
-def _descend(x: np.ndarray, y: np.ndarray, classes: int, dim: int, epochs: int, rate: float, seed: int):
+def _descend(x: np.ndarray, y: np.ndarray, use: np.ndarray, classes: int, dim: int, epochs: int, rate: float, seed: int):
     rng = np.random.default_rng(seed)
     embedding = rng.normal(0, 0.1, (x.shape[1], dim)).astype(np.float32)
     weights = rng.normal(0, 0.1, (dim, classes)).astype(np.float32)
@@ -99,7 +99,7 @@ def _descend(x: np.ndarray, y: np.ndarray, classes: int, dim: int, epochs: int,
     scale = np.float32(x.shape[1] ** 0.5)
     for epoch in range(epochs):
         step = rate * (1 - epoch / epochs)
-        for rows in np.array_split(rng.permutation(len(x)), max(1, len(x) // 32)):
+        for rows in np.array_split(rng.permutation(use), max(1, len(use) // 32)):
             batch = x[rows] * scale
             hidden = batch @ embedding
             z = hidden @ weights + bias
@@ -172,7 +172,7 @@ def fit(
     held = np.arange(len(y)) % 5 == 4
     if held.sum() < 5:
         held[:] = False
-    logits, bias = _descend(x[~held], y[~held], len(languages), dim, epochs, rate, seed=11)
+    logits, bias = _descend(x, y, np.flatnonzero(~held), len(languages), dim, epochs, rate, seed=11)
     model = Model(languages, logits, bias)
     if held.any():
         raw, truth = x[held] @ logits + bias, y[held]
