@@ -5,10 +5,12 @@ Input files are written from the tables by Spark first, into the folder the sess
 
 from __future__ import annotations
 
+import hashlib
+
+from pyarrow import fs as pafs
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-
 from docflow.functions.variants import as_text
 from docflow.operators import batches, blocks, upsert
 from docflow.operators import collections as C
@@ -257,13 +259,35 @@ def row_numbers(spark, sf_dir):
     )
 
 
-def _accept(endpoint: str, collection: str, documents: list[str]) -> None:
-    """Stands for an indexing service that takes every batch."""
+class _Mailbox:
+    """A receiver that stores every accepted batch as a file of its endpoint, in the shared folder.
+
+    A file is named by what it holds, so a batch that arrives again replaces itself. ``down`` endpoints
+    refuse everything; with ``flaky`` the connection is lost at the first attempt of each batch.
+    """
 
+    def __init__(self, folder: str, down: tuple[str, ...] = (), flaky: bool = False):
+        self.folder, self.down, self.flaky, self.tried = folder, down, flaky, set()
 
-def _refuse_first(endpoint: str, collection: str, documents: list[str]) -> None:
-    if endpoint == "a":
-        raise ConnectionError("endpoint a is down")
+    def __call__(self, endpoint: str, collection: str, documents: list[str]) -> None:
+        if endpoint in self.down:
+            raise ConnectionError(f"endpoint {endpoint} is down")
+        body = "\n".join(documents).encode()
+        name = hashlib.sha256(collection.encode() + b"\n" + body).hexdigest()
+        if self.flaky and name not in self.tried:
+            self.tried.add(name)
+            raise ConnectionError("connection lost")
+        uri = self.folder if ":" in self.folder else f"file://{self.folder}"
+        system, top = pafs.FileSystem.from_uri(f"{uri}/endpoint={endpoint}/collection={collection}")
+        system.create_dir(top, recursive=True)
+        with system.open_output_stream(f"{top}/{name}.txt") as out:
+            out.write(body)
+
+    def arrived(self, spark, fields: str):
+        """The documents that are stored, with their endpoint, collection and file."""
+        stored = spark.read.schema("value string, endpoint string, collection string").text(self.folder)
+        parsed = stored.select("endpoint", "collection", F.input_file_name().alias("file"), F.from_json("value", fields).alias("d"))
+        return parsed.select("endpoint", "collection", "file", "d.*")
 
 
 def _to_send(spark, sf_dir):
@@ -278,28 +302,46 @@ def _receipts(spark, documents, deliver, batch_size=delivery.BATCH_SIZE):
     return spark.read.parquet(target)
 
 
-@area.add("SELECT event_type AS collection, count(*) AS docs, 0 AS retried, true AS bounded FROM events GROUP BY 1")
+@area.add("""
+    SELECT event_type AS collection, count(*) AS docs, count(*) AS arrived, sum(event_id)::BIGINT AS ids, sum(user_id)::BIGINT AS users,
+           true AS each_retried, true AS bounded, true AS timed
+    FROM events GROUP BY 1
+""")
 def delivery_receipts(spark, sf_dir):
-    receipts = _receipts(spark, _to_send(spark, sf_dir), delivery.Retrying(_accept))
-    return receipts.groupBy("collection").agg(
-        F.sum("docs").alias("docs"), F.sum("retried").alias("retried"), (F.max("docs") <= 100).alias("bounded")
+    # The connection is lost once per batch; receipts are held against the documents that arrived.
+    box = _Mailbox(workspace(configure(spark), "mailbox"), flaky=True)
+    receipts = _receipts(spark, _to_send(spark, sf_dir), delivery.Retrying(box, wait=0.0))
+    sent = receipts.groupBy("collection").agg(
+        F.sum("docs").alias("docs"), (F.min("retried") == 1).alias("each_retried"),
+        (F.max("docs") <= delivery.BATCH_SIZE).alias("bounded"), (F.min("millis") > 0).alias("timed"),
     )
+    arrived = box.arrived(spark, "event_id bigint, user_id bigint").groupBy("collection").agg(
+        F.count(F.lit(1)).alias("arrived"), F.sum("event_id").alias("ids"), F.sum("user_id").alias("users")
+    )
+    return sent.join(arrived, "collection")
 
 
-@area.add("SELECT count(*) AS docs, 0 AS sent_to_failed, true AS both_used FROM events")
+@area.add("""
+    SELECT event_id, user_id, event_type AS collection, false AS at_failed, true AS bounded FROM events
+""")
 def delivery_failover(spark, sf_dir):
-    receipts = _receipts(spark, _to_send(spark, sf_dir), delivery.Failover(_refuse_first, ["a", "b", "c"]), 20)
-    totals = delivery.delivery_report(receipts)
-    return totals.agg(
-        F.sum("docs").alias("docs"), F.count_if(F.col("endpoint") == "a").alias("sent_to_failed"),
-        (F.countDistinct("endpoint") == 2).alias("both_used"),
-    )
+    # Endpoint a is down: every document arrives at another one, once, in a batch of its collection.
+    box = _Mailbox(workspace(configure(spark), "mailbox"), down=("a",))
+    receipts = _receipts(spark, _to_send(spark, sf_dir), delivery.Failover(box, ["a", "b", "c"]), 20)
+    told = delivery.delivery_report(receipts).select("endpoint", (F.col("docs") <= 20 * F.col("requests")).alias("bounded"))
+    arrived = box.arrived(spark, "event_id bigint, user_id bigint").join(told, "endpoint", "left")
+    return arrived.select("event_id", "user_id", "collection", (F.col("endpoint") == "a").alias("at_failed"), "bounded")
 
 
-@area.add("SELECT count(*) AS requests, count(*) AS docs FROM events")
+@area.add("SELECT s_suppkey, s_name, 1 AS in_file FROM supplier")
 def delivery_one_by_one(spark, sf_dir):
-    receipts = _receipts(spark, _to_send(spark, sf_dir), delivery.Retrying(_accept), batch_size=1)
-    return receipts.agg(F.count(F.lit(1)).alias("requests"), F.sum("docs").alias("docs"))
+    box = _Mailbox(workspace(configure(spark), "mailbox"))
+    rows = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("nation-"), F.col("s_nationkey")).alias("collection"), F.to_json(F.struct("s_suppkey", "s_name")).alias("json")
+    )
+    _receipts(spark, rows, delivery.Retrying(box), batch_size=1)
+    arrived = box.arrived(spark, "s_suppkey bigint, s_name string")
+    return arrived.groupBy("file").agg(F.min("s_suppkey").alias("s_suppkey"), F.min("s_name").alias("s_name"), F.count(F.lit(1)).alias("in_file")).drop("file")
 
 
 # --- metrics -----------------------------------------------------------------------------------
