@@ -24,6 +24,11 @@ BUCKETS = 1 << 13
 LENGTHS = (2, 3, 4)
 UNKNOWN = "und"
 
+_PROFILE = "lang string, rank int, bucket array<int>, part array<float>"
+_PROFILE_SCHEMA = pa.schema(
+    [("lang", pa.string()), ("rank", pa.int32()), ("bucket", pa.list_(pa.int32())), ("part", pa.list_(pa.float32()))]
+)
+
 _LETTER = np.zeros(256, np.uint8) + 32
 _LETTER[97:123] = np.arange(97, 123)
 _LETTER[65:91] = np.arange(97, 123)
@@ -153,13 +158,44 @@ def fit(
                 names=["lang", "rank", "bucket", "part"],
             )
 
-    rows = (
-        chosen.select("lang", "rank", "text")
-        .mapInArrow(profile, "lang string, rank int, bucket array<int>, part array<float>")
-        .toArrow()
-    )
+    # A bounded sample: one task trains on all of it, and only the model comes to the driver.
+    profiles = chosen.select("lang", "rank", "text").mapInArrow(profile, _PROFILE)
+    schema = "languages array<string>, logits binary, bias binary, temperature double, threshold double"
+    found = profiles.repartition(1).mapInArrow(_trainer(dim, epochs, rate, lost), schema).first()
+    if found is None:
+        return _unlearned()
+    languages = list(found["languages"])
+    logits = np.frombuffer(found["logits"], "<f8").reshape(BUCKETS, len(languages))
+    return Model(languages, logits, np.frombuffer(found["bias"], "<f8"), found["temperature"], found["threshold"])
+
+
+def _unlearned() -> Model:
+    return Model([UNKNOWN], np.zeros((BUCKETS, 1)), np.zeros(1))
+
+
+def _trainer(dim: int, epochs: int, rate: float, lost: float):
+    """Of the profiles in a partition, one row with the model's parts."""
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = _trained(pa.Table.from_batches(batches, _PROFILE_SCHEMA), dim, epochs, rate, lost)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([m.languages], pa.list_(pa.string())),
+                pa.array([m.logits.astype("<f8").tobytes()], pa.binary()),
+                pa.array([m.bias.astype("<f8").tobytes()], pa.binary()),
+                pa.array([m.temperature]),
+                pa.array([m.threshold]),
+            ],
+            names=["languages", "logits", "bias", "temperature", "threshold"],
+        )
+
+    return train
+
+
+def _trained(rows: pa.Table, dim: int, epochs: int, rate: float, lost: float) -> Model:
+    """The model of ``lang, rank, bucket, part``, one row per text."""
     if rows.num_rows == 0:
-        return Model([UNKNOWN], np.zeros((BUCKETS, 1)), np.zeros(1))
+        return _unlearned()
     rows = rows.sort_by([("lang", "ascending"), ("rank", "ascending")])
     names = rows.column("lang").to_pylist()
     languages = sorted(set(names))
