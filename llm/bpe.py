@@ -36,7 +36,7 @@ FOLD_BYTES = 256
 # Documents whose results are held at once.
 SLICE = 250
 NO_RANK = 1 << 30
-_KEYS, _SLOTS = 1 << 16, 1 << 18
+_KEYS, _SLOTS = 1 << 16, 1 << 17
 # Odd numbers below 2**17: no product leaves 64 bits.
 _MIX = (40503, 65599, 104729, 99991, 75707, 130043)
 
@@ -54,10 +54,15 @@ class Vocabulary:
         with open(path, "rb") as lines:
             return cls({base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}, pattern)
 
+    def id_bits(self) -> int:
+        """Bits that hold any id."""
+        return max(1, max(self.ranks.values()).bit_length())
+
     def pair_table(self) -> tuple[list[int], list[int]]:
         """Displacements and slots of a hash table from pairs of ids to the id of their merge.
 
-        Keys of one bucket are moved together until all fall into free slots; a slot holds key and id.
+        Keys of one bucket are moved together until all fall into free slots; a slot holds key and id, 0 if it
+        is free. The table is part of the plan, whose text the driver prints: short numbers matter.
         """
         pairs = {}
         for word, rank in self.ranks.items():
@@ -76,18 +81,18 @@ class Vocabulary:
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
         groups = sorted(np.split(order, cuts), key=len, reverse=True)
-        table, moves = np.full(slots, -1, np.int64), [0] * _KEYS
+        table, moves, bits = np.zeros(slots, np.int64), [0] * _KEYS, self.id_bits()
         for group in groups:
             if not len(group):
                 continue
             for move in range(1 << 15):
                 at = (base[group] + move * stride[group]) & (slots - 1)
-                if (table[at] < 0).all() and len(np.unique(at)) == len(at):
+                if not table[at].any() and len(np.unique(at)) == len(at):
                     break
             else:
                 raise ValueError("no free slots for a bucket of pairs")
             moves[int(bucket[group[0]])] = move
-            table[at] = (x[group] << 40) | (y[group] << 20) | merged[group]
+            table[at] = (x[group] << 2 * bits) | (y[group] << bits) | merged[group]
         return moves, table.tolist()
 
 
@@ -100,9 +105,10 @@ def encode_word(word: Column, vocabulary: Vocabulary) -> Column:
     """The ids of a word (binary): a fold of ranked merges over the array of its byte tokens."""
     moves, slots = vocabulary.pair_table()
     of_byte = [vocabulary.ranks[bytes([b])] for b in range(256)]
-    size = len(slots)
-    # Pairs of single bytes, where every fold starts, have a table of their own.
-    of_two = [vocabulary.ranks.get(bytes([a, b]), NO_RANK) for a in range(256) for b in range(256)]
+    size, bits = len(slots), vocabulary.id_bits()
+    # Pairs of single bytes, where every fold starts, have a table of their own. A missing
+    # rank is NULL there, which the minimum passes over.
+    of_two = [vocabulary.ranks.get(bytes([a, b])) for a in range(256) for b in range(256)]
     tables = F.struct(
         _literal(moves, "int").alias("moves"),
         _literal(slots, "bigint").alias("slots"),
@@ -116,8 +122,8 @@ def encode_word(word: Column, vocabulary: Vocabulary) -> Column:
         move = F.get(t["moves"], (x * _MIX[0] + y * _MIX[1]).bitwiseAND(_KEYS - 1).cast("int"))
         at = (x * _MIX[2] + y * _MIX[3] + move * (x * _MIX[4] + y * _MIX[5]).bitwiseOR(F.lit(1).cast("long"))).bitwiseAND(size - 1)
         entry = F.get(t["slots"], at.cast("int"))
-        key = F.shiftleft(x, 20) + y
-        return let(entry, lambda e: F.when((e >= 0) & (F.shiftright(e, 20) == key), e.bitwiseAND((1 << 20) - 1).cast("int")).otherwise(NO_RANK))
+        key = F.shiftleft(x, bits) + y
+        return let(entry, lambda e: F.when((e > 0) & (F.shiftright(e, bits) == key), e.bitwiseAND((1 << bits) - 1).cast("int")).otherwise(NO_RANK))
 
     def folded(t: Column) -> Column:
         # In Latin-1 every byte is one character, whose code is the byte.
