@@ -254,6 +254,13 @@ def test_pseudo_likelihood(spark, docs, empty):
     assert pseudo_likelihood.pseudo_likelihood(empty).count() == 0
 
 
+def test_pseudo_likelihood_learns_from_every_place(spark):
+    # Every eighth word is another one than those between, which a stride of 8 or 16 never meets.
+    text = " ".join("rare" if i % 8 == 0 else "often" for i in range(32_000))
+    row = pseudo_likelihood.pseudo_likelihood(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.n_tokens == 32_000 and row.per_token > -1
+
+
 def _brute(rows, ids, k=10):
     usable = {i: np.array(v, float) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v) and len(v) == 8}
     out = {}
