@@ -261,6 +261,27 @@ def test_pseudo_likelihood_learns_from_every_place(spark):
     assert row.n_tokens == 32_000 and row.per_token > -1
 
 
+def test_rare_words_are_told_apart_by_their_counts(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "FREQUENT", 4)
+    # w1 is seen once, w90 ninety times; each stands alone in documents of its own.
+    rows = [(i, f"w{i}") for i in range(1, 91) for _ in range(i)] + [(None, "w7"), (5, "w8"), (100, None)]
+    texts = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    network = pseudo_likelihood.train(texts)
+    assert len(network.frequent) == 9 and sum(network.spread) == len(rows) - 1 - sum(range(82, 91))
+    scored = pseudo_likelihood.score(texts, network).collect()
+    assert len(scored) == len(rows)
+    assert sorted((r.id or 0, r.n_tokens) for r in scored) == sorted((i or 0, int(t is not None)) for i, t in rows)
+    from llm.common import word_hashes
+
+    # All documents have the same context, so words of a bucket differ by their counts alone.
+    classes = dict(zip(range(1, 91), network.classes(word_hashes([f"w{i}".encode() for i in range(1, 91)])[0]), strict=True))
+    own = {r.id: r.log_prob for r in scored if r.id and r.id != 5 and r.n_tokens}
+    for a in own:
+        for b in own:
+            if classes[a] == classes[b]:
+                assert own[a] - own[b] == pytest.approx(np.log(a + (a in (7, 8))) - np.log(b + (b in (7, 8))), abs=1e-6)
+
+
 def _brute(rows, ids, k=10):
     usable = {i: np.array(v, float) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v) and len(v) == 8}
     out = {}
