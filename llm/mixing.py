@@ -75,6 +75,7 @@ def mix(
     source_col: str = "source",
     share: float = 1.5,
     cap: float = 2.0,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target, taken, positions``.
 
@@ -85,7 +86,8 @@ def mix(
 
     A NULL or empty text has size 0 and is never taken. A NULL source is a source of its own, last
     by name. Documents without an id, and repeated ids, are documents like all others; equal ids are
-    ordered by size. No documents, no rows. Other columns are ignored.
+    ordered by size. No documents, no rows. The columns ``keep`` go along and break remaining ties;
+    others are ignored.
     """
     if cap > 2:
         raise ValueError("a document is taken at most twice")
@@ -98,6 +100,7 @@ def mix(
             F.col(source_col).alias("source"),
             word_count(F.col(text_col)).alias("size"),
             key.alias("key"),
+            *keep,
         ),
         "mix-sizes",
     ).withColumn("range", F.substring("key", 1, 3))
@@ -114,7 +117,7 @@ def mix(
     )
     inside = (
         Window.partitionBy("group", "range")
-        .orderBy("key", F.col("doc_id").asc_nulls_last(), "size")
+        .orderBy("key", F.col("doc_id").asc_nulls_last(), "size", *keep)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = (
@@ -145,14 +148,15 @@ def mix(
             F.when(F.col("size") == 0, none)
             .otherwise(F.concat(whole, F.when(F.col("last") > 0, partial).otherwise(none)))
             .alias("positions"),
+            *keep,
         )
         .orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
     )
 
 
-def schedule(mixed: DataFrame) -> DataFrame:
-    """One row per copy, ``doc_id, copy, position``, sorted by position over all partitions."""
-    copies = mixed.select("doc_id", F.posexplode("positions").alias("copy", "position"))
+def schedule(mixed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per copy, ``doc_id, copy, position`` and ``keep``, sorted by position over all partitions."""
+    copies = mixed.select("doc_id", F.posexplode("positions").alias("copy", "position"), *keep)
     return copies.orderBy("position", "doc_id", "copy")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 import corpus_pipeline
-from llm import minhash, suffix
+from llm import minhash, mixing, suffix
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -35,3 +35,16 @@ def test_stages(spark, tmp_path):
     assert after.count() == before.count()
     assert all(len(r.ids) == 4 * r.n_tokens and (r.n_tokens > 0) == bool(texts[r.doc_id]) for r in after.collect())
     assert np.isfinite([r.n_tokens for r in after.collect()]).all()
+
+
+def test_mixing_keeps_rows_without_id_and_the_order(spark, tmp_path):
+    # Texts of different lengths; ids are missing, repeated or unique.
+    rows = [(None if i % 3 == 0 else i // 6, " ".join([f"w{i}"] * (i + 1)), "en", "abc"[i % 7 % 3], i) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{tmp_path}/in")
+    docs = spark.read.parquet(f"{tmp_path}/in")
+    want = [r.text for r in mixing.schedule(mixing.mix(docs, keep=("text",)), keep=("text",)).collect()]
+    corpus_pipeline.mix_sources(spark, docs, SF_DIR).write.parquet(f"{tmp_path}/out")
+    parts = sorted((tmp_path / "out").glob("part-*"))
+    got = [r for part in parts for r in spark.read.parquet(str(part)).collect()]
+    assert [r.text for r in got] == want
+    assert {tuple(r) for r in got} <= set(rows) and any(r.doc_id is None for r in got)
