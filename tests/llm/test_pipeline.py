@@ -48,3 +48,16 @@ def test_mixing_keeps_rows_without_id_and_the_order(spark, tmp_path):
     got = [r for part in parts for r in spark.read.parquet(str(part)).collect()]
     assert [r.text for r in got] == want
     assert {tuple(r) for r in got} <= set(rows) and any(r.doc_id is None for r in got)
+
+
+def test_cut_texts_keep_their_replacement_characters(spark, tmp_path):
+    shared = "äöü" * 30
+    # The repeat ends inside a character: ã is C3 A3, and C3 also follows the repeat in the first text.
+    rows = [(1, "é" + shared + "ö"), (2, "one \ufffd two " + shared + "ã \ufffd\x1a\x1ab\x1aa"), (3, "\ufffd whole"), (None, "\ufffd" + shared)]
+    table = [(i, t, "en", "a", len(t)) for i, t in rows]
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string, source string, n_chars long")
+    cut = {r.doc_id: bytes(r.kept) for r in suffix.remove_repeats(docs).collect()}
+    got = {r.doc_id: r for r in corpus_pipeline.cut_repeats(spark, docs, SF_DIR).collect()}
+    assert cut[2].startswith(b"one \xef\xbf\xbd two \xa3 ") and got[2].text == cut[2].decode("utf-8", "ignore") and got[2].text.count("\ufffd") == 2
+    assert got[3].text == "\ufffd whole" and got[None].text == "\ufffd" + shared
+    assert all(r.n_chars == len(r.text) for r in got.values())
