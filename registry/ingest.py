@@ -472,16 +472,21 @@ def field_path_documents(spark, sf_dir):
     return jobs.flat_fields(documents).select("id", "path", as_text(F.col("value")).alias("value"))
 
 
+def web_envelopes(spark, sf_dir):
+    """One envelope for each event's web server line, also for lines without a request or a size."""
+    text = events(spark, sf_dir).select(F.expr(lines.line_of(lines.WEB_COMMON)).alias("line"))
+    numbered = files.with_line_numbers(files.read_lines(spark, write_lines(spark, text, "access")))
+    return jobs.log_envelopes(numbered, "COMMONAPACHELOG").documents
+
+
 @area.add(f"""
     SELECT '{{"name":"clientip","value":"' || ({lines.SRC}) || '"}}' AS first_field, 10 AS n
     FROM events WHERE event_id % 9 <> 0 AND event_id % 4 <> 0
 """)
 def log_envelopes(spark, sf_dir):
-    text = events(spark, sf_dir).filter("event_id % 9 <> 0 AND event_id % 4 <> 0").select(
-        F.expr(lines.line_of(lines.WEB_COMMON)).alias("line")
-    )
-    numbered = files.with_line_numbers(files.read_lines(spark, write_lines(spark, text, "access")))
-    documents = jobs.log_envelopes(numbered, "COMMONAPACHELOG").documents
+    # All lines are parsed; the SQL tells what comes of those with a request and a size.
+    absent = F.exists("fields", lambda f: f["name"].isin("verb", "bytes") & (f["value"].cast("string") == ""))
+    documents = web_envelopes(spark, sf_dir).filter(~absent)
     return documents.select(F.to_json(F.col("fields")[0]).alias("first_field"), F.size("fields").alias("n"))
 
 

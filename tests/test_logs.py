@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,3 +186,17 @@ def test_tokens(spark):
     assert "10.0.0.1" in found("IPV4") and "300.1.1.1" not in found("IPV4")
     assert found("UUID") == ["123e4567-e89b-12d3-a456-426614174000"]
     assert found("MAC") == ["00:1B:44:11:3A:B7"]
+
+
+def test_envelopes_of_all_lines_have_all_fields(spark):
+    from registry import ingest
+    from registry import log_lines as lines
+    from registry.common import events
+
+    sf_dir = "/root/testdata/sf0.001"
+    want = lines.fields_of(lines.WEB_COMMON)
+    expected = events(spark, sf_dir).selectExpr(*(f"coalesce({sql}, '') AS {name}" for name, sql in want.items()))
+    found = [{f["name"]: f["value"] for f in json.loads(r.fields)} for r in ingest.web_envelopes(spark, sf_dir).selectExpr("to_json(fields) AS fields").collect()]
+    rows = [{k: str(v) for k, v in f.items()} for f in found]
+    assert any(not r["verb"] for r in rows) and any(not r["bytes"] for r in rows)
+    assert sorted(tuple(r[k] for k in want) for r in rows) == sorted(tuple(r) for r in expected.collect())
