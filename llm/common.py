@@ -99,21 +99,21 @@ SHINGLE = 5
 _PLACE = np.random.default_rng(77).integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
 
 
-def shingle_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
-    """The sorted distinct 5-word shingle hashes of each text, words lower-cased in A-Z.
+def shingle_sets(texts: list[bytes], width: int = SHINGLE) -> Iterator[np.ndarray]:
+    """The sorted distinct hashes of the shingles of ``width`` (at most 5) words of each text, words lower-cased in A-Z.
 
-    A text of one to four words has its whole sequence as the only shingle; no words, no shingles.
+    A text of fewer words has its whole sequence as the only shingle; no words, no shingles.
     """
     for first, last in byte_chunks(texts):
         words, counts = word_hashes(texts[first:last])
         at = np.cumsum(counts) - counts
-        sums = np.zeros(max(0, len(words) - SHINGLE + 1), np.uint64)
-        for j in range(SHINGLE):
+        sums = np.zeros(max(0, len(words) - width + 1), np.uint64)
+        for j in range(width):
             sums += words[j : j + len(sums)] * _PLACE[j]
         sums = mixed(sums)
         for start, n in zip(at.tolist(), counts.tolist(), strict=True):
-            if n >= SHINGLE:
-                yield np.unique(sums[start : start + n - SHINGLE + 1])
+            if n >= width:
+                yield np.unique(sums[start : start + n - width + 1])
             elif n:
                 short = (words[start : start + n] * _PLACE[:n]).sum(dtype=np.uint64) + np.uint64(n)
                 yield mixed(np.array([short], np.uint64))
@@ -151,20 +151,46 @@ def spread_join(rows: DataFrame, groups: DataFrame, key: str, salt_on: str, memb
     return rows.withColumn("_salt", salt(salt_on)).join(spread.drop(size), [key, "_salt"], how).drop("_salt")
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each batch of edges ``u, v`` as a forest: every end but the smallest of its tree, with that one."""
+    for batch in batches:
+        up: dict[int, int] = {}
+        for a, b in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
+            for end in (a, b):
+                up.setdefault(end, end)
+            while up[a] != a:
+                up[a] = a = up[up[a]]
+            while up[b] != b:
+                up[b] = b = up[up[b]]
+            up[max(a, b)] = min(a, b)
+        ends, roots = [], []
+        for end in up:
+            root = end
+            while up[root] != root:
+                root = up[root]
+            if root != end:
+                ends.append(end)
+                roots.append(root)
+        yield pa.RecordBatch.from_arrays([pa.array(ends, pa.int64()), pa.array(roots, pa.int64())], names=["u", "v"])
+
+
+def _tangled(edges: DataFrame) -> bool:
+    """Whether some end has two parents, or a parent of its own and children."""
+    roles = edges.union(edges.select("v", F.lit(None).cast("long")))
+    counts = roles.groupBy("u").agg(F.count("v").alias("parents"), F.count(F.lit(1)).alias("places"))
+    return not counts.filter("parents > 1 OR (parents = 1 AND places > 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``id, component`` of every end of ``edges`` (``a, b``): the smallest id it is connected to.
 
-    Large-star and small-star rounds: every node hands its larger, then its smaller neighbours to the
-    smallest node it knows, until nothing changes. Each round is written to the shared folder.
+    Edges first become forests batch by batch, where they lie. Large-star and small-star rounds follow:
+    every node hands its larger, then its smaller neighbours to the smallest node it knows, until every
+    node has its root as the only neighbour. Each round is written to the shared folder.
     """
-
-    def signature(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    ends = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    now = written(ends, "components")
-    last = signature(now)
-    while last[0]:
+    ends = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    now = written(ends.mapInArrow(_forest, "u long, v long").distinct(), "components")
+    while _tangled(now):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -174,11 +200,5 @@ def components(edges: DataFrame) -> DataFrame:
         kept = lowest.select("u", F.col("m").alias("v"))
         handed = large.join(lowest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = written(kept.union(handed).distinct(), "components")
-        found = signature(now)
-        if found == last:
-            break
-        last = found
-    root = now.select(F.col("v").alias("id"), F.col("v").alias("component"))
-    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(root).groupBy("id").agg(
-        F.min("component").alias("component")
-    )
+    root = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(root)

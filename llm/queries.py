@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import ann, bpe, chat, invertible, language, minhash, mixing, pseudo_likelihood, suffix, warc
+from llm import (
+    ann,
+    bpe,
+    centroids,
+    chat,
+    hard_negatives,
+    invertible,
+    jaccard_join,
+    language,
+    minhash,
+    mixing,
+    pseudo_likelihood,
+    suffix,
+    warc,
+)
 from llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +101,19 @@ def op10_subword_language(spark, sf_dir):
     return language.identify(documents.select("doc_id", "text"), model).select(
         "doc_id", held_out.alias("held_out"), "language.*"
     )
+
+
+@query(centroids.ORACLE)
+def op11_centroid_rounds(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op12_jaccard_regions(spark, sf_dir):
+    return jaccard_join.near_sets(table(spark, sf_dir, "documents"))
+
+
+@query(hard_negatives.ORACLE)
+def op13_angular_negatives(spark, sf_dir):
+    label = F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)")
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0, label=label)
