@@ -66,7 +66,7 @@ def _longs(parts: list[np.ndarray]) -> pa.Array:
 
 
 def profiles(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Set size, digest and first shingles by hash alone of each row of ``id, text``."""
+    """Set size, digest and the window of first shingles, by hash alone, of each row of ``id, text``."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,7 +75,7 @@ def profiles(texts: DataFrame, width: int, percent: int) -> DataFrame:
             for found in shingle_sets(raw, width):
                 sizes.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-                low.append(found[: (100 - percent) * len(found) // 100 + 1])
+                low.append(found[: _window(len(found), percent)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), _longs(low)], names=["id", "n", "digest", "low"]
             )
@@ -260,24 +260,23 @@ def near_sets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = written(profiles(texts, width, percent), "jaccard-profiles")
     filled = rows.filter("n > 0 AND id IS NOT NULL")
     # Equal sets are one class, which goes on as its smallest id.
-    classes = filled.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("members"), F.any_value("low").alias("low"))
-    low = written(classes.select(F.col("first").alias("id"), F.explode("low").alias("pivot")), "jaccard-first")
-    crowds = written(
-        low.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.min("id").alias("a"), F.max("id").alias("z")).filter("a < z").drop("a", "z"),
-        "jaccard-crowds",
-    )
-    most = crowds.filter(F.col("members") > CROWD).orderBy(F.desc("members"), "pivot").limit(CROWDED).select("pivot").toArrow()
+    classes = filled.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("members"), F.any_value("low").alias("low"), F.any_value("n").alias("n"))
+    low = classes.select(F.col("first").alias("id"), "n", F.explode("low").alias("pivot"))
+    crowds = low.groupBy("pivot").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    met = written(low.join(crowds, "pivot"), "jaccard-met")
+    # By hash alone, linked documents share at least as many first shingles as the smaller margin.
+    least = F.expr(f"1 + (n * {percent} + 99) div 100 div 16")
+    candidates = written(met.groupBy("id", "n").count().filter(F.col("count") >= least).select("id").distinct(), "jaccard-candidates")
+    again = met.join(candidates, "id", "left_semi").groupBy("pivot").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > CROWD)
+    most = again.orderBy(F.desc("members"), "pivot").limit(CROWDED).select("pivot").toArrow()
     crowded = np.sort(most.column("pivot").to_numpy().view(np.uint64))
-    # Whoever has a link shares one of the first shingles by hash alone with its partner.
-    sets = full_sets(texts, low.join(crowds, "pivot", "left_semi").select("id").distinct(), crowded, width, percent)
+    sets = full_sets(texts, candidates, crowded, width, percent)
 
     placed = sets.select("id", "n", F.explode("pivots").alias("pivot"))
-    digest = lambda seed: F.sum(F.xxhash64(F.lit(seed), F.col("id")).cast("decimal(38,0)")).alias(f"digest{seed}")
-    regions = placed.groupBy("pivot").agg(
-        F.count(F.lit(1)).alias("members"), F.min(F.struct("id", "n")).alias("low"), F.max("id").alias("z"), digest(1), digest(2)
-    )
+    digest = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), F.col("id"))).alias(f"digest{seed}")
+    regions = placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("id", "n")).alias("low"), digest(1), digest(2))
     # Regions with the same documents are one.
-    once = regions.filter("low.id < z").groupBy("members", "low", "digest1", "digest2").agg(F.min("pivot").alias("pivot"), F.count(F.lit(1)).alias("weight"))
+    once = regions.filter("members > 1").groupBy("members", "low", "digest1", "digest2").agg(F.min("pivot").alias("pivot"), F.count(F.lit(1)).alias("weight"))
     shared = written(placed.join(once.drop("digest1", "digest2"), "pivot"), "jaccard-regions")
 
     stars = shared.filter(F.col("low.id") < F.col("id")).filter(_close(F.col("n"), F.col("low.n"), percent))
