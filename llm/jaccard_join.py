@@ -83,8 +83,20 @@ def profiles(texts: DataFrame, width: int, percent: int) -> DataFrame:
     return texts.mapInArrow(profile, "id long, n long, digest binary, low array<long>")
 
 
+def _unfolded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each first shingle. Spark sees the same rows in both its uses, so that it shuffles the windows once."""
+    for batch in batches:
+        low = batch.column("low")
+        size = np.asarray(low.value_lengths())
+        columns = [pa.array(np.repeat(batch.column(c).to_numpy(), size)) for c in ("first", "n")]
+        yield pa.RecordBatch.from_arrays([*columns, low.flatten()], names=["id", "n", "pivot"])
+
+
 def full_sets(texts: DataFrame, ids: DataFrame, crowded: np.ndarray, width: int, percent: int) -> DataFrame:
-    """``id, n, shingles, pivots`` of the rows whose id is in ``ids``, written."""
+    """``id, n, shingles, folds, pivots`` of the rows whose id is in ``ids``, written.
+
+    ``folds`` are the leading 16 bits of each hash, in order.
+    """
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,13 +109,14 @@ def full_sets(texts: DataFrame, ids: DataFrame, crowded: np.ndarray, width: int,
                         batch.column("id").slice(at, 256),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([s.tobytes() for s in sets], pa.binary()),
+                        pa.array([(s >> np.uint64(48)).astype(np.uint16).tobytes() for s in sets], pa.binary()),
                         _longs([ordered_window(s, crowded, percent) for s in sets]),
                     ],
-                    names=["id", "n", "shingles", "pivots"],
+                    names=["id", "n", "shingles", "folds", "pivots"],
                 )
 
     wanted = texts.filter(F.col("text").isNotNull()).join(ids, "id", "left_semi")
-    return written(wanted.mapInArrow(shingle, "id long, n long, shingles binary, pivots array<long>"), "jaccard-sets")
+    return written(wanted.mapInArrow(shingle, "id long, n long, shingles binary, folds binary, pivots array<long>"), "jaccard-sets")
 
 
 def _close(n_a: Column, n_b: Column, percent: int) -> Column:
@@ -115,24 +128,43 @@ def _set(value: pa.BinaryScalar) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), np.uint64)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose full sets are close enough; many pairs may share one ``a``."""
-    pairs = written(pairs.select("a", "b"), "jaccard-pairs")
-    side = lambda s: sets.select(F.col("id").alias(s), F.col("shingles").alias(f"s_{s}"))
+def _in_common(one: np.ndarray, two: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    at = np.minimum(np.searchsorted(two, one), len(two) - 1)
+    return int((two[at] == one).sum())
+
+
+def _numbered(folds: np.ndarray) -> np.ndarray:
+    """Equal folds told apart by their number, so that a multiset becomes a set."""
+    return (folds.astype(np.int64) << 32) + np.arange(len(folds)) - np.searchsorted(folds, folds)
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, column: str, percent: int, name: str) -> DataFrame:
+    """The pairs ``a, b`` whose sets in ``column`` are close enough; many pairs may share one ``a``."""
+    side = lambda s: sets.select(F.col("id").alias(s), F.col(column).alias(f"s_{s}"))
     centres = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("pairs"), F.min("b").alias("one")).join(side("a"), "a")
     both = spread_join(pairs.join(side("b"), "b"), centres, "a", "b", "one", "pairs")
+    read = _set if column == "shingles" else lambda value: _numbered(np.frombuffer(value.as_buffer(), np.uint16))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("s_a"), batch.column("s_b"), strict=True):
-                one, two = _set(x), _set(y)
-                at = np.minimum(np.searchsorted(two, one), len(two) - 1)
-                common = int((two[at] == one).sum())
+                one, two = read(x), read(y)
+                common = _in_common(one, two)
                 keep.append(100 * common >= percent * (len(one) + len(two) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return written(both.mapInArrow(compare, "a long, b long").distinct(), "jaccard-links")
+    return written(both.mapInArrow(compare, "a long, b long").distinct(), name)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose full sets are close enough.
+
+    Folding can only bring sets closer, so folded sets, a quarter of the bytes, rule most pairs out first.
+    """
+    near = _compared(written(pairs.select("a", "b"), "jaccard-pairs"), sets, "folds", percent, "jaccard-near")
+    return _compared(near, sets, "shingles", percent, "jaccard-links")
 
 
 class _Region:
@@ -261,10 +293,10 @@ def near_sets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     filled = rows.filter("n > 0 AND id IS NOT NULL")
     # Equal sets are one class, which goes on as its smallest id.
     classes = filled.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("members"), F.any_value("low").alias("low"), F.any_value("n").alias("n"))
-    low = classes.select(F.col("first").alias("id"), "n", F.explode("low").alias("pivot"))
+    low = classes.select("first", "n", "low").mapInArrow(_unfolded, "id long, n long, pivot long")
     crowds = low.groupBy("pivot").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     met = written(low.join(crowds, "pivot"), "jaccard-met")
-    # By hash alone, linked documents share at least as many first shingles as the smaller margin.
+    # Linked documents share at least as many first shingles as the smaller margin, in whatever order.
     least = F.expr(f"1 + (n * {percent} + 99) div 100 div 16")
     candidates = written(met.groupBy("id", "n").count().filter(F.col("count") >= least).select("id").distinct(), "jaccard-candidates")
     again = met.join(candidates, "id", "left_semi").groupBy("pivot").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > CROWD)
@@ -272,21 +304,27 @@ def near_sets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     crowded = np.sort(most.column("pivot").to_numpy().view(np.uint64))
     sets = full_sets(texts, candidates, crowded, width, percent)
 
-    placed = sets.select("id", "n", F.explode("pivots").alias("pivot"))
+    placed = sets.select("id", "n", F.posexplode("pivots").alias("place", "pivot"))
     digest = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), F.col("id"))).alias(f"digest{seed}")
     regions = placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("id", "n")).alias("low"), digest(1), digest(2))
     # Regions with the same documents are one.
     once = regions.filter("members > 1").groupBy("members", "low", "digest1", "digest2").agg(F.min("pivot").alias("pivot"), F.count(F.lit(1)).alias("weight"))
-    shared = written(placed.join(once.drop("digest1", "digest2"), "pivot"), "jaccard-regions")
+    joined = placed.join(once.drop("digest1", "digest2"), "pivot")
+    able = joined.groupBy("id", "n").agg(F.sum("weight").alias("met")).filter(F.col("met") >= least).select("id").distinct()
+    shared = written(joined.join(able, "id", "left_semi"), "jaccard-regions")
 
+    # Of a pair's shingles before one that both have in their windows, the shared ones are among those counted; the
+    # others are in one of the two alone, and a linked pair has few of them.
+    unlike = lambda n_a, n_b: F.floor((100 - percent) * (n_a + n_b) / (100 + percent) + 1e-6)
     stars = shared.filter(F.col("low.id") < F.col("id")).filter(_close(F.col("n"), F.col("low.n"), percent))
     best = (
-        stars.groupBy("id", F.col("low.id").alias("a")).agg(F.sum("weight").alias("weight"))
-        .groupBy(F.col("id").alias("b")).agg(F.max_by("a", F.struct("weight", -F.col("a"))).alias("a"))
+        stars.groupBy("id", "n", "low").agg(F.sum("weight").alias("weight"), F.max("place").alias("place"))
+        .filter(F.col("place") + 1 - F.col("weight") <= unlike(F.col("n"), F.col("low.n")))
+        .groupBy(F.col("id").alias("b")).agg(F.max_by("low.id", F.struct("weight", -F.col("low.id"))).alias("a"))
     )
     links = verified(best, sets, percent)
     found = components(links)
-    labelled = shared.join(found, "id", "left").select("pivot", "members", "weight", "id", "n", F.coalesce("component", "id").alias("label"))
+    labelled = shared.join(found, "id", "left").select("pivot", "members", "weight", "place", "id", "n", F.coalesce("component", "id").alias("label"))
     mixed = labelled.groupBy("pivot").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most").select("pivot")
     apart = written(labelled.join(mixed, "pivot", "left_semi"), "jaccard-open")
 
@@ -295,8 +333,9 @@ def near_sets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     near = (F.col("one.id") < F.col("two.id")) & (F.col("one.label") != F.col("two.label")) & _close(F.col("one.n"), F.col("two.n"), percent)
     pairs = one.join(two, (F.col("one.pivot") == F.col("two.pivot")) & near).groupBy(F.col("one.id").alias("a"), F.col("two.id").alias("b"))
     # A pair that shares a larger region too is tested there; any other must share enough of these.
-    enough = F.expr("1 + LEAST(n_a, n_b) div 16")
-    likely = pairs.agg(F.sum("one.weight").alias("weight"), F.min("one.n").alias("n_a"), F.min("two.n").alias("n_b")).filter(F.col("weight") >= enough)
+    likely = pairs.agg(
+        F.sum("one.weight").alias("weight"), F.max(F.col("one.place") + F.col("two.place")).alias("place"), F.min("one.n").alias("n_a"), F.min("two.n").alias("n_b")
+    ).filter("weight >= 1 + LEAST(n_a, n_b) div 16").filter(F.col("place") + 2 - 2 * F.col("weight") <= unlike(F.col("n_a"), F.col("n_b")))
     links = links.union(verified(likely, sets, percent))
     many = apart.filter(F.col("members") > SMALL).select("pivot", "id", "label").distinct()
     links = links.union(region_links(many.join(sets.select("id", "n", "shingles"), "id"), percent))
