@@ -48,6 +48,14 @@ def write_lines(spark: SparkSession, lines: DataFrame, name: str, header: str |
     return folder
 
 
+def write_numbered(spark: SparkSession, rows: DataFrame, group: str, order: str, name: str) -> str:
+    """Write ``line`` as one text file per ``group``, in ``order``, so that SQL knows the number of each line."""
+    folder = workspace(spark, name)
+    placed = rows.repartition(group).sortWithinPartitions(group, order)
+    placed.select("line", group).write.partitionBy(group).text(folder)
+    return folder
+
+
 def murmur3_sql(source: str, key: str, keep: str) -> str:
     """SELECT of ``keep`` and ``h``, the signed 32-bit Murmur3 of the text ``key``."""
     word = "'0x' || substr(x, i*8+7, 2) || substr(x, i*8+5, 2) || substr(x, i*8+3, 2) || substr(x, i*8+1, 2)"

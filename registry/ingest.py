@@ -5,9 +5,6 @@ Input files are written from the tables by Spark first, into the folder the sess
 
 from __future__ import annotations
 
-import hashlib
-
-from pyarrow import fs as pafs
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -23,8 +20,9 @@ from docflow.streaming import delivery, document_log
 from docflow.streaming.progress import counted
 from registry import Registry
 from registry import log_lines as lines
-from registry.common import COLLECTION_SQL, TWELVE_HOURS, events, murmur3_sql, table, write_lines
+from registry.common import COLLECTION_SQL, TWELVE_HOURS, events, murmur3_sql, table, write_lines, write_numbered
 from registry.json_records import _BLOCKS_SQL, _FULL_NAMES, order_records
+from registry.receiver import Receiver
 from registry.routing import _shard
 
 area = Registry()
@@ -41,15 +39,14 @@ def _order_lines(spark, sf_dir) -> str:
 
 
 @area.add("""
-    SELECT count(*) AS rows, count(*) AS distinct_numbers, count(*) AS last_numbers FROM orders
+    SELECT o_orderpriority, o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS line_no FROM orders
 """)
 def line_numbers(spark, sf_dir):
-    # Each file is numbered 1..n without gaps: the last numbers add up to the number of lines.
-    numbered = files.with_line_numbers(files.read_lines(spark, _order_lines(spark, sf_dir)))
-    per_file = numbered.groupBy("file").agg(
-        F.count(F.lit(1)).alias("n"), F.countDistinct("line_no").alias("d"), F.max("line_no").alias("last")
-    )
-    return per_file.agg(F.sum("n").alias("rows"), F.sum("d").alias("distinct_numbers"), F.sum("last").alias("last_numbers"))
+    text = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", F.col("o_orderkey").cast("string").alias("line"))
+    folder = write_numbered(spark, text, "o_orderpriority", "o_orderkey", "order-numbers")
+    numbered = files.with_line_numbers(files.read_lines(spark, folder))
+    group = F.url_decode(F.regexp_extract("file", "o_orderpriority=([^/]+)", 1))
+    return numbered.select(group.alias("o_orderpriority"), F.col("value").cast("bigint").alias("o_orderkey"), "line_no")
 
 
 @area.add("SELECT 0 AS out_of_order, count(*) AS lines FROM orders WHERE o_orderkey % 10 <> 0")
@@ -259,37 +256,6 @@ def row_numbers(spark, sf_dir):
     )
 
 
-class _Mailbox:
-    """A receiver that stores every accepted batch as a file of its endpoint, in the shared folder.
-
-    A file is named by what it holds, so a batch that arrives again replaces itself. ``down`` endpoints
-    refuse everything; with ``flaky`` the connection is lost at the first attempt of each batch.
-    """
-
-    def __init__(self, folder: str, down: tuple[str, ...] = (), flaky: bool = False):
-        self.folder, self.down, self.flaky, self.tried = folder, down, flaky, set()
-
-    def __call__(self, endpoint: str, collection: str, documents: list[str]) -> None:
-        if endpoint in self.down:
-            raise ConnectionError(f"endpoint {endpoint} is down")
-        body = "\n".join(documents).encode()
-        name = hashlib.sha256(collection.encode() + b"\n" + body).hexdigest()
-        if self.flaky and name not in self.tried:
-            self.tried.add(name)
-            raise ConnectionError("connection lost")
-        uri = self.folder if ":" in self.folder else f"file://{self.folder}"
-        system, top = pafs.FileSystem.from_uri(f"{uri}/endpoint={endpoint}/collection={collection}")
-        system.create_dir(top, recursive=True)
-        with system.open_output_stream(f"{top}/{name}.txt") as out:
-            out.write(body)
-
-    def arrived(self, spark, fields: str):
-        """The documents that are stored, with their endpoint, collection and file."""
-        stored = spark.read.schema("value string, endpoint string, collection string").text(self.folder)
-        parsed = stored.select("endpoint", "collection", F.input_file_name().alias("file"), F.from_json("value", fields).alias("d"))
-        return parsed.select("endpoint", "collection", "file", "d.*")
-
-
 def _to_send(spark, sf_dir):
     text = F.to_json(F.struct("event_id", "user_id"))
     return events(spark, sf_dir).select(F.col("event_type").alias("collection"), text.alias("json"))
@@ -309,7 +275,7 @@ def _receipts(spark, documents, deliver, batch_size=delivery.BATCH_SIZE):
 """)
 def delivery_receipts(spark, sf_dir):
     # The connection is lost once per batch; receipts are held against the documents that arrived.
-    box = _Mailbox(workspace(configure(spark), "mailbox"), flaky=True)
+    box = Receiver(workspace(configure(spark), "received"), flaky=True)
     receipts = _receipts(spark, _to_send(spark, sf_dir), delivery.Retrying(box, wait=0.0))
     sent = receipts.groupBy("collection").agg(
         F.sum("docs").alias("docs"), (F.min("retried") == 1).alias("each_retried"),
@@ -326,22 +292,26 @@ def delivery_receipts(spark, sf_dir):
 """)
 def delivery_failover(spark, sf_dir):
     # Endpoint a is down: every document arrives at another one, once, in a batch of its collection.
-    box = _Mailbox(workspace(configure(spark), "mailbox"), down=("a",))
+    box = Receiver(workspace(configure(spark), "received"), down=("a",))
     receipts = _receipts(spark, _to_send(spark, sf_dir), delivery.Failover(box, ["a", "b", "c"]), 20)
     told = delivery.delivery_report(receipts).select("endpoint", (F.col("docs") <= 20 * F.col("requests")).alias("bounded"))
     arrived = box.arrived(spark, "event_id bigint, user_id bigint").join(told, "endpoint", "left")
     return arrived.select("event_id", "user_id", "collection", (F.col("endpoint") == "a").alias("at_failed"), "bounded")
 
 
-@area.add("SELECT s_suppkey, s_name, 1 AS in_file FROM supplier")
+@area.add("""
+    SELECT event_id, user_id, event_type AS collection, 1 AS in_request, count(*) OVER () AS requests, count(*) OVER () AS receipts FROM events
+""")
 def delivery_one_by_one(spark, sf_dir):
-    box = _Mailbox(workspace(configure(spark), "mailbox"))
-    rows = table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("nation-"), F.col("s_nationkey")).alias("collection"), F.to_json(F.struct("s_suppkey", "s_name")).alias("json")
+    # Every document has a request of its own.
+    box = Receiver(workspace(configure(spark), "received"))
+    receipts = _receipts(spark, _to_send(spark, sf_dir), delivery.Retrying(box), batch_size=1)
+    arrived = box.arrived(spark, "event_id bigint, user_id bigint")
+    requests = arrived.agg(F.countDistinct("request")).first()[0]
+    return arrived.select(
+        "event_id", "user_id", "collection", F.col("size").alias("in_request"),
+        F.lit(requests).alias("requests"), F.lit(receipts.count()).alias("receipts"),
     )
-    _receipts(spark, rows, delivery.Retrying(box), batch_size=1)
-    arrived = box.arrived(spark, "s_suppkey bigint, s_name string")
-    return arrived.groupBy("file").agg(F.min("s_suppkey").alias("s_suppkey"), F.min("s_name").alias("s_name"), F.count(F.lit(1)).alias("in_file")).drop("file")
 
 
 # --- metrics -----------------------------------------------------------------------------------
@@ -474,20 +444,24 @@ def field_path_documents(spark, sf_dir):
 
 def web_envelopes(spark, sf_dir):
     """One envelope for each event's web server line, also for lines without a request or a size."""
-    text = events(spark, sf_dir).select(F.expr(lines.line_of(lines.WEB_COMMON)).alias("line"))
-    numbered = files.with_line_numbers(files.read_lines(spark, write_lines(spark, text, "access")))
+    text = events(spark, sf_dir).select("event_type", "event_id", F.expr(lines.line_of(lines.WEB_COMMON)).alias("line"))
+    numbered = files.with_line_numbers(files.read_lines(spark, write_numbered(spark, text, "event_type", "event_id", "access")))
     return jobs.log_envelopes(numbered, "COMMONAPACHELOG").documents
 
 
+_ENVELOPE_FIELDS = " || ',' || ".join(
+    f"""'{{"name":"{name}","value":"' || coalesce({value}, '') || '"}}'""" for name, value in lines.fields_of(lines.WEB_COMMON).items()
+)
+
+
 @area.add(f"""
-    SELECT '{{"name":"clientip","value":"' || ({lines.SRC}) || '"}}' AS first_field, 10 AS n
-    FROM events WHERE event_id % 9 <> 0 AND event_id % 4 <> 0
+    SELECT event_type || '-' || row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS id, '[' || {_ENVELOPE_FIELDS} || ']' AS fields
+    FROM events
 """)
 def log_envelopes(spark, sf_dir):
-    # All lines are parsed; the SQL tells what comes of those with a request and a size.
-    absent = F.exists("fields", lambda f: f["name"].isin("verb", "bytes") & (f["value"].cast("string") == ""))
-    documents = web_envelopes(spark, sf_dir).filter(~absent)
-    return documents.select(F.to_json(F.col("fields")[0]).alias("first_field"), F.size("fields").alias("n"))
+    # Files are named by their event type; the number of a line follows from its event.
+    line = F.regexp_replace("id", r"^.*event_type=([^/]+)/.*-(\d+)$", "$1-$2")
+    return web_envelopes(spark, sf_dir).select(line.alias("id"), F.to_json("fields").alias("fields"))
 
 
 @area.add(_BLOCKS_SQL)
