@@ -18,6 +18,8 @@ _RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Python workers see long texts in small batches.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 

@@ -227,6 +227,41 @@ def log_newest(spark, sf_dir):
     return C.collection_registry(log.newest(5, order=("ts", "event_id")))
 
 
+def _versions_in_order(spark, sf_dir, log, compacted_after: tuple[int, ...], buckets: int = 1):
+    """Four batches of versions, each in the order of its events; every other batch calls a field by another type."""
+    for batch_id in range(4):
+        part = _versions(spark, sf_dir).filter(F.col("event_id") % 4 == batch_id).withColumn("rank", F.col("event_id").cast("int"))
+        if batch_id % 2:
+            part = part.withColumn("rank", F.col("event_id").cast("string")).drop("ts")
+        log.append(part.orderBy("event_id"), batch_id)
+        if batch_id in compacted_after:
+            log.compact(buckets=buckets)
+
+
+_LAST_WRITTEN = f"""
+    SELECT collection, id, event_id, event_id::VARCHAR AS rank FROM (
+      SELECT collection, id, event_id FROM (SELECT {COLLECTION_SQL} AS collection, user_id::VARCHAR AS id, * FROM events)
+      QUALIFY row_number() OVER (PARTITION BY collection, id ORDER BY event_id % 4 DESC, event_id DESC) = 1)
+"""
+
+
+@area.add(_LAST_WRITTEN)
+def log_last_write_wins(spark, sf_dir):
+    # The default order: the later batch wins, and within a batch the later document. Two generations lie between.
+    log = document_log.DocumentLog(configure(spark), workspace(spark, "log"))
+    _versions_in_order(spark, sf_dir, log, compacted_after=(0, 2))
+    return log.current().select("collection", "id", "event_id", F.col("rank").cast("string").alias("rank"))
+
+
+@area.add(f"SELECT * FROM ({_LAST_WRITTEN}) WHERE id IN (SELECT user_id::VARCHAR FROM events WHERE event_id < 5)")
+def log_lookup(spark, sf_dir):
+    # The current documents of five users, fetched from their buckets.
+    log = document_log.DocumentLog(configure(spark), workspace(spark, "log"))
+    _versions_in_order(spark, sf_dir, log, compacted_after=(1,), buckets=3)
+    users = [str(r.user_id) for r in events(spark, sf_dir).filter("event_id < 5").select("user_id").distinct().collect()]
+    return log.lookup(users).select("collection", "id", "event_id", F.col("rank").cast("string").alias("rank"))
+
+
 _IDS = murmur3_sql("events", "event_id::VARCHAR", "event_id, ts")
 
 
