@@ -61,3 +61,24 @@ def test_cut_texts_keep_their_replacement_characters(spark, tmp_path):
     assert cut[2].startswith(b"one \xef\xbf\xbd two \xa3 ") and got[2].text == cut[2].decode("utf-8", "ignore") and got[2].text.count("\ufffd") == 2
     assert got[3].text == "\ufffd whole" and got[None].text == "\ufffd" + shared
     assert all(r.n_chars == len(r.text) for r in got.values())
+
+
+def test_cut_repeats_with_repeated_ids(spark):
+    import hashlib
+
+    passage = " ".join(f"word{i}" for i in range(30))
+    texts = [passage + " one tail of its own that is long enough to count here", passage + " and another tail, which nobody else has in the table"]
+    first, second = sorted(texts, key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    rows = [(1, passage, "en", "a", 0), (5, first, "en", "b", 0), (5, second, "en", "c", 0), (5, first, "de", "d", 0), (5, None, None, None, 0), (5, "short", "en", "e", 0)]
+    rows += [(None, passage, "en", "f", 0), (7, second, "en", "g", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {(r.doc_id, r.source): (r.text, r.n_chars) for r in corpus_pipeline.cut_repeats(spark, docs, "").collect()}
+    rest = first.removeprefix(passage)
+    # Of the two texts of id 5 the one with the smaller digest takes part, in all its rows; the other one stays whole.
+    assert got[5, "b"] == got[5, "d"] == (rest, len(rest))
+    assert got[5, "c"] == (second, len(second))
+    assert got[5, None] == (None, None) and got[5, "e"] == ("short", 5)
+    assert got[1, "a"] == got[None, "f"] == (passage, len(passage))
+    # Passage and blank stand together in a smaller id.
+    assert got[7, "g"][0] == second.removeprefix(passage + " ")
+    assert len(got) == len(rows)
