@@ -151,27 +151,40 @@ def spread_join(rows: DataFrame, groups: DataFrame, key: str, salt_on: str, memb
     return rows.withColumn("_salt", salt(salt_on)).join(spread.drop(size), [key, "_salt"], how).drop("_salt")
 
 
+FOREST_EDGES = 1 << 18
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each batch of edges ``u, v`` as a forest: every end but the smallest of its tree, with that one."""
+    """The edges ``u, v`` of a task as forests: every end but the smallest of its tree, with that one.
+
+    A forest covers up to ``FOREST_EDGES`` edges, so a task's memory is bounded.
+    """
+    up: dict[int, int] = {}
+
+    def root(end: int) -> int:
+        while up[end] != end:
+            up[end] = end = up[up[end]]
+        return end
+
+    def flush() -> pa.RecordBatch:
+        below = [end for end in up if up[end] != end]
+        out = pa.RecordBatch.from_arrays([pa.array(below, pa.int64()), pa.array([root(end) for end in below], pa.int64())], names=["u", "v"])
+        up.clear()
+        return out
+
+    seen = 0
     for batch in batches:
-        up: dict[int, int] = {}
         for a, b in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
-            for end in (a, b):
-                up.setdefault(end, end)
-            while up[a] != a:
-                up[a] = a = up[up[a]]
-            while up[b] != b:
-                up[b] = b = up[up[b]]
-            up[max(a, b)] = min(a, b)
-        ends, roots = [], []
-        for end in up:
-            root = end
-            while up[root] != root:
-                root = up[root]
-            if root != end:
-                ends.append(end)
-                roots.append(root)
-        yield pa.RecordBatch.from_arrays([pa.array(ends, pa.int64()), pa.array(roots, pa.int64())], names=["u", "v"])
+            up.setdefault(a, a)
+            up.setdefault(b, b)
+            x, y = root(a), root(b)
+            up[max(x, y)] = min(x, y)
+        seen += batch.num_rows
+        if seen >= FOREST_EDGES:
+            yield flush()
+            seen = 0
+    if up:
+        yield flush()
 
 
 def _tangled(edges: DataFrame) -> bool:
@@ -184,7 +197,7 @@ def _tangled(edges: DataFrame) -> bool:
 def components(edges: DataFrame) -> DataFrame:
     """``id, component`` of every end of ``edges`` (``a, b``): the smallest id it is connected to.
 
-    Edges first become forests batch by batch, where they lie. Large-star and small-star rounds follow:
+    Edges first become forests task by task, where they lie. Large-star and small-star rounds follow:
     every node hands its larger, then its smaller neighbours to the smallest node it knows, until every
     node has its root as the only neighbour. Each round is written to the shared folder.
     """

@@ -167,7 +167,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _compared(near, sets, "shingles", percent, "jaccard-links")
 
 
-class _Region:
+class Region:
     """Documents of a region with their sets, and what is connected among them."""
 
     def __init__(self, sets: list[np.ndarray], labels: np.ndarray, sides: np.ndarray, percent: int):
@@ -202,7 +202,8 @@ class _Region:
                 self.links.append((i, j))
 
     def roots(self, rows: np.ndarray) -> np.ndarray:
-        return np.array([self.root(x) for x in self.labels[rows].tolist()])
+        names, local = np.unique(self.labels[rows], return_inverse=True)
+        return np.array([self.root(x) for x in names.tolist()])[local]
 
     def join(self, rows: np.ndarray) -> None:
         """Link whatever among ``rows`` is close and not connected yet."""
@@ -264,7 +265,7 @@ def region_links(members: DataFrame, percent: int) -> DataFrame:
             # Pairs within a block are tested where it meets itself: there every row is a side of its own.
             sides = np.where(block == other, np.arange(len(ids)) + len(ids), block)
             sides = np.unique(sides, return_inverse=True)[1]
-            region = _Region([_set(v) for v in rows.column("shingles")], labels, sides, percent)
+            region = Region([_set(v) for v in rows.column("shingles")], labels, sides, percent)
             region.join(np.arange(len(ids)))
             if region.links:
                 a, b = np.array(region.links).T

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm.common import by_key, components, mixed, shingle_sets, spread_join, written
+from llm.jaccard_join import Region
 
 REGISTERS = 128
 MANTISSA = 10
@@ -194,20 +195,22 @@ def verified(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(compare, "a long, b long").distinct()
 
 
-class _Forest:
-    """Union-find over the component names met in one task."""
-
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def root(self, x: int) -> int:
-        while (above := self.up.get(x, x)) != x:
-            x = above
-        return x
-
-    def join(self, x: int, y: int) -> None:
-        x, y = self.root(x), self.root(y)
-        self.up[max(x, y)] = min(x, y)
+def _spanning(left: np.ndarray, right: np.ndarray, component: np.ndarray) -> list[tuple[int, int]]:
+    """The pairs, in their order, that connect components not connected before."""
+    names, local = np.unique(component, return_inverse=True)
+    label, apart, out = np.arange(len(names)), len(names), []
+    for at in range(0, len(left), 1 << 13):
+        i, j = left[at : at + (1 << 13)], right[at : at + (1 << 13)]
+        open_pairs = label[local[i]] != label[local[j]]
+        for x, y in zip(i[open_pairs].tolist(), j[open_pairs].tolist(), strict=True):
+            one, two = label[local[x]], label[local[y]]
+            if one != two:
+                label[label == two] = one
+                out.append((x, y))
+                apart -= 1
+        if apart == 1:
+            break
+    return out
 
 
 def _open_members(shared: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
@@ -242,35 +245,49 @@ def _blocked_pairs(members: DataFrame, percent: int) -> DataFrame:
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in by_key(batches, "place"):
+            rows = rows.sort_by("id").combine_chunks()
             ids, n, component, block, other, band = (
                 rows.column(c).to_numpy() for c in ("id", "n", "component", "block", "other", "band")
             )
             registers = _registers(rows.column("registers"))
-            sets = [_set(v) for v in rows.column("shingles")] if exact else None
+            # A band's registers as one number.
+            words = registers.view(np.uint64).reshape(len(registers), BANDS)
+            region = None
+            if exact:
+                # Which rows meet is settled below; all sides differ.
+                region = Region([_set(v) for v in rows.column("shingles")], component, np.arange(len(ids)), percent)
             left, right, similar = [], [], []
-            for i in range(len(ids)):
+            for i in range(len(ids) - 1):
                 # Pairs within a block are formed where it meets itself.
-                later = np.flatnonzero((ids > ids[i]) & (component != component[i]) & ((block[i] == other[i]) | (block != block[i])))
+                apart = component[i + 1 :] != component[i]
+                if block[i] != other[i]:
+                    apart &= block[i + 1 :] != block[i]
+                if not apart.any():
+                    continue
+                apart &= (words[i + 1 :] == words[i]).argmax(axis=1) == band[i]
+                later = i + 1 + np.flatnonzero(apart)
+                if exact and len(later):
+                    later = later[region.roots(later) != region.root(int(component[i]))]
                 if not len(later):
                     continue
-                same = registers[later] == registers[i]
-                first = same.reshape(len(later), BANDS, BAND).all(axis=2).argmax(axis=1) == band[i]
-                later, equal = later[first], same[first].sum(axis=1)
+                equal = (registers[later] == registers[i]).sum(axis=1)
                 sizes_i = np.full(len(later), n[i])
                 good = plausible(equal, n[later], sizes_i, percent)
+                if exact:
+                    if good.any():
+                        region.test(i, later[good], region.shared(i, later[good]))
+                    continue
                 left.append(np.full(int(good.sum()), i))
                 right.append(later[good])
                 similar.append(estimate(equal[good], n[later][good], sizes_i[good]))
-            if not left:
-                continue
-            left, right, similar = map(np.concatenate, (left, right, similar))
-            forest, out = _Forest(), []
-            for at in np.argsort(-similar, kind="stable").tolist():
-                i, j = int(left[at]), int(right[at])
-                x, y = int(component[i]), int(component[j])
-                if forest.root(x) != forest.root(y) and (not exact or _linked(sets[i], sets[j], percent)):
-                    forest.join(x, y)
-                    out.append((ids[i], ids[j]))
+            if exact:
+                out = [(ids[i], ids[j]) for i, j in region.links]
+            elif left:
+                left, right = np.concatenate(left), np.concatenate(right)
+                order = np.argsort(-np.concatenate(similar), kind="stable")
+                out = [(ids[i], ids[j]) for i, j in _spanning(left[order], right[order], component)]
+            else:
+                out = []
             if out:
                 a, b = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -303,15 +320,16 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     likely = _plausible_pairs(stars, nodes, percent)
     # First the most similar of a class's star centres.
     best = likely.groupBy("b").agg(F.max_by("a", F.struct("similar", -F.col("a"))).alias("a"))
-    links = written(verified(best, texts, percent), "links")
+    found = components(written(verified(best, texts, percent), "links"))
     # Then what ties the components of a bucket together by estimate, and at last, on full sets, every
-    # plausible pair that is still apart.
-    apart = _open_members(shared, nodes, components(links))
-    links = written(links.union(verified(_blocked_pairs(apart, percent), texts, percent)), "links")
-    apart = written(_open_members(shared, nodes, components(links)), "apart")
+    # plausible pair that is still apart. What is connected goes on as one edge per document.
+    known = lambda found: found.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    apart = _open_members(shared, nodes, found)
+    likely = written(verified(_blocked_pairs(apart, percent), texts, percent), "links")
+    found = components(known(found).union(likely))
+    apart = written(_open_members(shared, nodes, found), "apart")
     sets = _sets(texts, apart.select("id").distinct())
-    links = links.union(_blocked_pairs(apart.join(sets, "id"), percent))
-    found = components(links)
+    found = components(known(found).union(_blocked_pairs(apart.join(sets, "id"), percent)))
     named = classes.join(found.withColumnRenamed("id", "first"), "first", "left").select(
         "digest", "first", "members", F.coalesce("component", "first").alias("component")
     )

@@ -190,7 +190,7 @@ def test_region_recursion():
     rng = random.Random(2)
     groups = [[rng.randrange(10**6) for _ in range(80)] for _ in range(12)]
     sets = [np.unique(np.array([rng.randrange(10**6) if rng.random() < 0.1 else x for x in g], np.uint64)) for g in groups for _ in range(15)]
-    region = jaccard_join._Region(sets, np.arange(len(sets)), np.arange(len(sets)), 85)
+    region = jaccard_join.Region(sets, np.arange(len(sets)), np.arange(len(sets)), 85)
     region.join(np.arange(len(sets)))
     close = lambda a, b: 100 * len(a & b) >= 85 * len(a | b)
     plain = [set(s.tolist()) for s in sets]
