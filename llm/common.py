@@ -31,7 +31,7 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
-def byte_chunks(texts: list[bytes], limit: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def byte_chunks(texts: list[bytes], limit: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Consecutive ranges of ``texts`` of about ``limit`` bytes; a longer text has a range of its own."""
     start, held = 0, 0
     for i, text in enumerate(texts):

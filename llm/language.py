@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import byte_chunks
+from docflow.operators.ranking import first_per_group
+from llm.common import byte_chunks, written
 
 BUCKETS = 1 << 13
 LENGTHS = (2, 3, 4)
@@ -140,9 +141,13 @@ def fit(
     usable = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     )
-    # Every task ranks its own rows first and passes on at most so many of each language.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = usable.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= per_language)
+    # Keys are ranked without their texts, in parts of a language first; then the chosen texts are fetched.
+    keyed = usable.withColumn("key", F.struct("id", "lang", F.xxhash64("text").alias("mark")))
+    order = [F.xxhash64("key.id"), "key.id", "key.mark"]
+    keys = first_per_group(keyed.select("key", "lang"), ["lang"], order, per_language, salts=64)
+    ranked = keys.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    places = written(ranked.groupBy("key").agg(F.min("rank").alias("rank")), "language-sample")
+    chosen = keyed.join(places, "key").dropDuplicates(["key"])
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,7 +258,8 @@ def identify(documents: DataFrame, model: Model, text_col: str = "text", name: s
                     rows.append((UNKNOWN, 0.0, True))
             yield pd.DataFrame(rows, columns=["lang_pred", "score", "rejected"])
 
-    return documents.withColumn(name, predict(F.col(text_col)))
+    # Not to be repeated for a filter on its result: a text is read once.
+    return documents.withColumn(name, predict.asNondeterministic()(F.col(text_col)))
 
 
 def learning_rows(documents: DataFrame, id_col: str = "doc_id") -> DataFrame:
