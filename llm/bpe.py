@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from docflow.functions.let import let
 from docflow.session import pin_file_splits, workspace
+from llm.common import tidy
 from llm.warc import _open
 
 # A fold's work grows with the square of the word's length; longer words go to a heap, in the tasks that use them.
@@ -202,6 +203,7 @@ def word_table(documents: DataFrame, vocabulary: Vocabulary, folder: str) -> Non
     """
     ranks, pattern = vocabulary.ranks, vocabulary.pattern
 
+    @tidy
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
         current, seen = None, set()
@@ -256,6 +258,7 @@ def encode(
     word_table(rows, vocabulary, folder)
     ranks, pattern = vocabulary.ranks, vocabulary.pattern
 
+    @tidy
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
         pieces = [b""] * (max(ranks.values(), default=-1) + 1)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,22 @@ from docflow.session import configure, workspace
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+def tidy(function: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """``function`` for tasks with large arrays: its worker, which waits for the next task, gives the memory back."""
+
+    def run(*args) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(*args)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     configure(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

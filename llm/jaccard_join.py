@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import by_key, components, shingle_sets, spread_join, written
+from llm.common import by_key, components, shingle_sets, spread_join, tidy, written
 
 # The most crowded shingles come last in the order of pivots; this many at most, from this crowd on.
 CROWDED = 1 << 16
@@ -68,6 +68,7 @@ def _longs(parts: list[np.ndarray]) -> pa.Array:
 def profiles(texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Set size, digest and the window of first shingles, by hash alone, of each row of ``id, text``."""
 
+    @tidy
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
@@ -98,6 +99,7 @@ def full_sets(texts: DataFrame, ids: DataFrame, crowded: np.ndarray, width: int,
     ``folds`` are the leading 16 bits of each hash, in order.
     """
 
+    @tidy
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = [t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
@@ -259,6 +261,7 @@ def region_links(members: DataFrame, percent: int) -> DataFrame:
         .sortWithinPartitions("place")
     )
 
+    @tidy
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in by_key(batches, "place"):
             ids, labels, block, other = (rows.column(c).to_numpy() for c in ("id", "label", "block", "other"))

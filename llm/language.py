@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflow.operators.ranking import first_per_group
-from llm.common import byte_chunks, written
+from llm.common import byte_chunks, tidy, written
 
 BUCKETS = 1 << 13
 LENGTHS = (2, 3, 4)
@@ -181,6 +181,7 @@ def _unlearned() -> Model:
 def _trainer(dim: int, epochs: int, rate: float, lost: float):
     """Of the profiles in a partition, one row with the model's parts."""
 
+    @tidy
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _trained(pa.Table.from_batches(batches, _PROFILE_SCHEMA), dim, epochs, rate, lost)
         yield pa.RecordBatch.from_arrays(

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import by_key, components, mixed, shingle_sets, spread_join, written
+from llm.common import by_key, components, mixed, shingle_sets, spread_join, tidy, written
 from llm.jaccard_join import Region
 
 REGISTERS = 128
@@ -102,6 +102,7 @@ _PROFILE = "id long, n long, digest binary, registers binary"
 def profiles(documents: DataFrame) -> DataFrame:
     """Set size, digest and registers of each row of ``id, text``; an empty set has no registers."""
 
+    @tidy
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
@@ -155,6 +156,7 @@ def _plausible_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFr
 def _sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
     """``id, shingles`` of the rows whose id is in ``ids``, written; an id with several texts has several."""
 
+    @tidy
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
@@ -243,6 +245,7 @@ def _blocked_pairs(members: DataFrame, percent: int) -> DataFrame:
         .sortWithinPartitions("place")
     )
 
+    @tidy
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in by_key(batches, "place"):
             rows = rows.sort_by("id").combine_chunks()
