@@ -57,14 +57,14 @@ def newest_collections(collections: DataFrame, n: int) -> DataFrame:
 def through_alias(df: DataFrame, n: int, collections: DataFrame | None = None) -> DataFrame:
     """Documents of the ``n`` newest collections.
 
-    Without ``collections`` the names come from the documents themselves and at most ``n`` of
-    them are broadcast. With ``collections``, a small table that lists them (the registry of a
+    Without ``collections`` the names come from the documents themselves, and Spark broadcasts
+    them if they are few. With ``collections``, a small table that lists them (the registry of a
     sink), the ``n`` names are looked up at once and become a filter, so that of documents stored
     by collection only the files of those collections are opened.
     """
     if n <= 0:
         return df
     if collections is None:
-        return df.join(F.broadcast(newest_collections(df, n)), "collection", "left_semi")
+        return df.join(newest_collections(df, n), "collection", "left_semi")
     names = [row.collection for row in newest_collections(collections, n).collect()]
     return df.filter(F.col("collection").isin(names))
