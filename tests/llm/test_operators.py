@@ -240,12 +240,16 @@ def test_pseudo_likelihood(spark, docs, empty):
         from llm.common import word_hashes
 
         classes = network.classes(word_hashes([(r.text or "").encode()])[0])
-        embedding, w1, b1, w2, b2 = (w.astype(np.float64) for w in network.weights)
+        embedding, w1, b1, outer, within = (w.astype(np.float64) for w in network.weights)
+        width = within.shape[1]
         total = 0.0
         for i, own in enumerate(classes):
             near = [classes[j] if 0 <= j < len(classes) else pseudo_likelihood.PAD for j in (i - 2, i - 1, i + 1, i + 2)]
-            z = np.tanh(np.concatenate([embedding[c] for c in near]) @ w1 + b1) @ w2 + b2
-            total += z[own] - np.log(np.exp(z).sum()) + share[own]
+            hidden = np.append(np.tanh(np.concatenate([embedding[c] for c in near]) @ w1 + b1), 1)
+            # A class is as likely as its group, times its chance within the group.
+            for z, place in ((outer @ hidden, own // width), (within[own // width] @ hidden, own % width)):
+                total += z[place] - np.log(np.exp(z).sum())
+            total += share[own]
         assert got[r.id].log_prob == pytest.approx(total, rel=1e-4)
     blank = pseudo_likelihood.Network(network.frequent, network.spread, pseudo_likelihood.initial())
     untrained = sum(r.log_prob for r in pseudo_likelihood.score(texts, blank).collect())
@@ -254,6 +258,30 @@ def test_pseudo_likelihood(spark, docs, empty):
     assert pseudo_likelihood.pseudo_likelihood(empty).count() == 0
 
 
+def test_classes_of_all_groups_sum_to_one():
+    weights = pseudo_likelihood.initial(300)
+    weights = [w + np.random.default_rng(1).normal(0, 0.3, w.shape).astype(np.float32) * (w > -1) for w in weights]
+    pad, total = 300, 0.0
+    for own in range(300):
+        line, at = pseudo_likelihood._lined_up(np.array([5, 7, own, 9, 299]), np.array([5]), pad)
+        total += np.exp(pseudo_likelihood.log_softmax_at(weights, line, at)[2])
+    assert total == pytest.approx(1, abs=1e-4)
+
+
+def test_pseudo_likelihood_step_goes_down_the_gradient():
+    rng = np.random.default_rng(2)
+    weights = [w + rng.normal(0, 0.2, w.shape).astype(np.float32) for w in pseudo_likelihood.initial(40)]
+    # Documents without words, of one word and of several lie side by side.
+    line, at = pseudo_likelihood._lined_up(rng.integers(0, 40, 60), np.array([0, 1, 29, 0, 2, 28]), 40)
+    loss = lambda w: -pseudo_likelihood.log_softmax_at(w, line, at).astype(np.float64).mean()
+    after = [w.copy() for w in weights]
+    pseudo_likelihood.descend(after, line, at, 1e-2)
+    for k in range(5):
+        moved = [*weights[:k], after[k], *weights[k + 1 :]]
+        # Along a gradient step of length r the loss falls by the squared step over r.
+        assert loss(weights) - loss(moved) == pytest.approx(((after[k] - weights[k]) ** 2).sum() / 1e-2, rel=0.1, abs=2e-5)
+
+
 def test_pseudo_likelihood_learns_from_every_place(spark):
     # Every eighth word is another one than those between, which a stride of 8 or 16 never meets.
     text = " ".join("rare" if i % 8 == 0 else "often" for i in range(32_000))
