@@ -27,6 +27,8 @@ from llm.common import written
 MAGIC = b"\x1f\x8b\x08"
 FILE_BYTES = 64 << 20
 SPLIT_BYTES = 4 << 20
+# Tasks that read archives.
+MOST_TASKS = 100_000
 # Salts of a payload shared by many pages.
 SALTS = 32
 _READ = 1 << 18
@@ -159,9 +161,11 @@ def _member(source, at: int, head: bytes) -> tuple[bytes, int] | None:
             parts.append(inflate.decompress(first))
             fed += len(first)
             if not checked and (sum(map(len, parts)) >= 7 or inflate.eof):
-                if not b"".join(parts).startswith(b"WARC/1."):
+                head, end, _ = b"".join(parts).partition(b"\r\n\r\n")
+                if not head.startswith(b"WARC/1.") or (end and headers_of(head) is None) or (inflate.eof and not end):
                     return None
-                checked = True
+                # A header may be longer than what has been inflated so far.
+                checked = bool(end)
             if inflate.eof:
                 return b"".join(parts), fed - len(inflate.unused_data)
             piece = piece[len(first) :] or source.read(_READ)
@@ -171,10 +175,22 @@ def _member(source, at: int, head: bytes) -> tuple[bytes, int] | None:
         return None
 
 
+def headers_of(head: bytes) -> dict | None:
+    """The fields of a record's header block, or None if it is none: not text, a line that is no field, no type, id or length."""
+    try:
+        lines = head.decode().split("\r\n")
+    except UnicodeDecodeError:
+        return None
+    fields = dict(line.split(": ", 1) for line in lines[1:] if ": " in line)
+    whole = len(lines) > 1 and all(": " in line for line in lines[1:])
+    named = fields.keys() >= {"WARC-Type", "WARC-Record-ID", "WARC-Target-URI", "WARC-Payload-Digest", "Content-Length"}
+    return fields if whole and named and fields["Content-Length"].isdecimal() else None
+
+
 def parse(body: bytes) -> dict:
     """Headers and payload of an inflated record; a response whose digest is wrong is an error."""
     head, _, rest = body.partition(b"\r\n\r\n")
-    headers = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
+    headers = headers_of(head)
     block = rest[: int(headers["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
     http_headers = dict(line.split(": ", 1) for line in http.decode().split("\r\n")[1:])
@@ -212,11 +228,13 @@ RECORD = pa.schema(
 def read_archives(files: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool = True) -> DataFrame:
     """All records of the archives in ``files`` (``path, bytes``), split into byte ranges.
 
-    Revisits have no payload. Without ``payloads`` the column stays empty, checked but not returned.
+    A task reads one range, or several where there are more than ``MOST_TASKS`` ranges. Revisits have no payload. Without ``payloads`` the column stays empty, checked but not returned.
     """
+    # Ranges are tiny rows: without a number adaptive execution would give them all to one task.
+    parts = files.select(F.sum(F.ceil(F.col("bytes") / max(split_bytes, SPLIT_BYTES)))).first()[0] or 1
     ranges = files.select(
         "path", "bytes", F.explode(F.sequence(F.lit(0), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes))).alias("at")
-    ).repartition("path", "at")
+    ).repartition(max(1, min(parts, MOST_TASKS)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
