@@ -4,7 +4,8 @@ Every source gets a word target by its weight, held below a multiple of its size
 documents stand in a fixed pseudo-random order, pass after pass, until the target is filled. A
 source's weight changes linearly over the training time; the integral of that schedule is the share
 of its words consumed so far, and its inverse turns the running word total of a document into the
-training time at which it is due. Sorting by that time mixes the sources as scheduled.
+time at which it is due. The demand of all sources together up to that time is the document's training
+position, as a share of the whole mix. Sorting by position mixes the sources as scheduled.
 """
 
 from __future__ import annotations
@@ -30,6 +31,11 @@ def training_time(share: Column, slope: Column) -> Column:
     return F.when(slope == 0, share).otherwise((root - level) / (2 * slope))
 
 
+def training_position(time: Column, slope: Column) -> Column:
+    """Share of the whole mix consumed at ``time``; ``slope`` is the mean of the sources' slopes by their quotas."""
+    return slope * time * time + (1 - slope) * time
+
+
 def source_targets(sized: DataFrame, share: float, cap: float) -> DataFrame:
     """One row per source: its size, target and schedule; ``sized`` has ``source`` and ``size``.
 
@@ -63,8 +69,13 @@ def source_targets(sized: DataFrame, share: float, cap: float) -> DataFrame:
             ),
         )
     )
-    return out.select(
-        "source", "source_size", "target", "slope", F.floor(F.col("target") + 0.5).cast("long").alias("quota")
+    out = out.withColumn("quota", F.floor(F.col("target") + 0.5).cast("long"))
+    out = out.withColumn("mix_size", F.sum("quota").over(everything))
+    # Slopes are tenths; whole numbers give the same sum in any order.
+    tenths = F.round(F.col("slope") * 10).cast("long")
+    mean = F.sum(F.col("quota") * tenths).over(everything) / (10 * F.col("mix_size"))
+    return out.withColumn("mean_slope", F.when(F.col("mix_size") > 0, mean).otherwise(0.0)).select(
+        "source", "source_size", "target", "slope", "quota", "mix_size", "mean_slope"
     )
 
 
@@ -77,11 +88,12 @@ def mix(
     cap: float = 2.0,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, taken, positions``.
+    """One row per document: ``doc_id, source, size, source_size, target, taken, positions, mix_size``.
 
     ``taken`` is the number of words the mix takes, repeats counted: whole passes over the source,
     then a last pass that stops exactly at the quota, the target rounded to a whole word (one
-    document per source may be cut there). ``positions`` has the training time of each copy; it
+    document per source may be cut there). ``positions`` has the training position of each copy, a
+    share of the ``mix_size`` words of the whole mix; it
     is empty for a document that is not taken. Rows come in the order of their first position.
 
     A NULL or empty text has size 0 and is never taken. A NULL source is a source of its own, last
@@ -129,11 +141,12 @@ def mix(
     rest = F.col("quota") - F.col("passes") * F.col("source_size")
     last = F.greatest(F.lit(0), F.least(rest - F.col("start"), F.col("size")))
     middle = lambda turn, words: (turn * F.col("source_size") + F.col("start") + words / 2) / F.col("quota")
+    due = lambda share: training_position(training_time(share, F.col("slope")), F.col("mean_slope"))
     whole = F.transform(
         F.slice(F.array(F.lit(0), F.lit(1)), F.lit(1), F.least(F.col("passes"), F.lit(2)).cast("int")),
-        lambda turn: training_time(middle(turn, F.col("size")), F.col("slope")),
+        lambda turn: due(middle(turn, F.col("size"))),
     )
-    partial = F.array(training_time(middle(F.col("passes"), F.col("last")), F.col("slope")))
+    partial = F.array(due(middle(F.col("passes"), F.col("last"))))
     none = F.array().cast("array<double>")
     return (
         placed.withColumn("passes", F.when(F.col("source_size") > 0, F.expr("quota div source_size")).otherwise(0))
@@ -148,6 +161,7 @@ def mix(
             F.when(F.col("size") == 0, none)
             .otherwise(F.concat(whole, F.when(F.col("last") > 0, partial).otherwise(none)))
             .alias("positions"),
+            "mix_size",
             *keep,
         )
         .orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
@@ -167,17 +181,32 @@ WITH sized AS (
     md5(coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
 totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighed AS (SELECT *, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w,
-    2.0::DOUBLE * source_size AS most, 1.5::DOUBLE * sum(source_size) OVER () AS wanted FROM totals),
+    [6, 0, -6][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS slope, 2.0::DOUBLE * source_size AS most, 1.5::DOUBLE * sum(source_size) OVER () AS wanted FROM totals),
 levels AS (SELECT *, (wanted - coalesce(sum(most) OVER before, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER before, 0))
       >= most / w AS stops FROM weighed
     WINDOW before AS (ORDER BY most / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-targets AS (SELECT source, source_size, CASE WHEN stops THEN most ELSE w *
+targets AS (SELECT source, source_size, slope, CASE WHEN stops THEN most ELSE w *
       (wanted - coalesce(sum(most) FILTER (WHERE stops) OVER (), 0)) / sum(w) FILTER (WHERE NOT stops) OVER () END AS target
     FROM levels),
-placed AS (SELECT s.doc_id, s.size, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS quota,
+quotas AS (SELECT *, floor(target + 0.5)::BIGINT AS quota FROM targets),
+mixes AS (SELECT *, sum(quota) OVER ()::BIGINT AS mix_size,
+    sum(quota * slope) OVER ()::DOUBLE / (10 * sum(quota) OVER ())::DOUBLE AS mean FROM quotas),
+placed AS (SELECT s.doc_id, s.size, t.source_size, t.target, t.quota, t.mix_size, t.mean, t.slope / 10::DOUBLE AS slope,
       coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.k, s.doc_id, s.size
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-  (quota // source_size * size + greatest(0, least(quota % source_size - start, size)))::BIGINT AS taken FROM placed
+    FROM sized s JOIN mixes t ON s.source IS NOT DISTINCT FROM t.source),
+counted AS (SELECT *, quota // source_size AS passes, greatest(0, least(quota % source_size - start, size))::BIGINT AS last FROM placed),
+copies AS (SELECT *,
+    CASE WHEN size > 0 THEN (start + (CASE WHEN passes > 0 THEN size ELSE nullif(last, 0) END)::DOUBLE / 2::DOUBLE) / quota::DOUBLE END AS first_share,
+    CASE WHEN size > 0 AND passes > 0 THEN CASE WHEN passes < 2 AND last = 0
+        THEN (start + size::DOUBLE / 2::DOUBLE) / quota::DOUBLE
+      ELSE (source_size + start + (CASE WHEN passes < 2 THEN last ELSE size END)::DOUBLE / 2::DOUBLE) / quota::DOUBLE END
+    WHEN size > 0 THEN (start + nullif(last, 0)::DOUBLE / 2::DOUBLE) / quota::DOUBLE END AS last_share FROM counted),
+times AS (SELECT *,
+    CASE WHEN slope = 0 THEN first_share ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * first_share) - (1 - slope)) / (2 * slope) END AS t1,
+    CASE WHEN slope = 0 THEN last_share ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * last_share) - (1 - slope)) / (2 * slope) END AS t2
+  FROM copies)
+SELECT doc_id, size, source_size, target, (passes * size + last)::BIGINT AS taken,
+  floor((mean * t1 * t1 + (1 - mean) * t1) * mix_size)::BIGINT AS first_position,
+  floor((mean * t2 * t2 + (1 - mean) * t2) * mix_size)::BIGINT AS last_position FROM times
 """

@@ -67,7 +67,11 @@ def op4_warc(spark, sf_dir):
 
 @query(mixing.ORACLE)
 def op5_curriculum_mix(spark, sf_dir):
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    # Training positions of a document's first and last copy, in words of the mix.
+    at = lambda place: F.floor(F.try_element_at("positions", F.lit(place)) * F.col("mix_size"))
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", at(1).alias("first_position"), at(-1).alias("last_position")
+    )
 
 
 @query()

@@ -377,6 +377,51 @@ def test_chat(spark, monkeypatch):
     assert len(parts) > 4 and max(p.n_turns for p in parts) == 256 and sum(p.n_turns for p in parts) == 2000
 
 
+def test_warc_candidates_need_a_whole_header():
+    import io
+    import zlib
+
+    class Archive(io.BytesIO):
+        def size(self):
+            return len(self.getvalue())
+
+    real = warc.record(7, "u" * 9000, b"payload", hashlib.sha1(b"payload").hexdigest(), None)
+    fakes = [b"WARC/1.1\r\nno field\r\n\r\n", b"WARC/1.0", b"WARC/1.1\r\nWARC-Type: response\r\n\r\nx", b"WARC/1.1\r\n\xff: 1\r\n\r\n", b"text"]
+    packed = lambda body: (z := zlib.compressobj(6, zlib.DEFLATED, 31)).compress(body) + z.flush()
+    archive = Archive(b"".join(packed(f) + real for f in fakes) + packed(fakes[0]))
+    bodies = list(warc.records_in_range(archive, 0, archive.size()))
+    assert [warc.parse(b)["page_id"] for b in bodies] == [7] * len(fakes)
+
+
+def test_archives_are_read_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SPLIT_BYTES", 500)
+    noise = random.Random(6)
+    pages = [(i, "u", "".join(chr(noise.randrange(32, 0x2FF)) for _ in range(400))) for i in range(50)]
+    files = warc.archive(spark, spark.createDataFrame(pages, "page_id long, url string, html string"))
+    read = warc.read_archives(files, 500)
+    total = sum(-(-r.bytes // 500) for r in files.collect())
+    assert read.rdd.getNumPartitions() == total > 20 and read.count() == 50
+
+
+def test_positions_are_the_summed_demand(spark):
+    rows = [(i, " ".join("w" * (1 + i % 7)), "abc"[i % 3]) for i in range(900)]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    total = sum(r.taken for r in mixed)
+    assert {r.mix_size for r in mixed} == {total}
+    # A copy's position is the number of words that all copies due before it have.
+    copies = []
+    for r in mixed:
+        assert len(r.positions) == -(-r.taken // r.size)
+        # Whole passes come first, a cut copy last.
+        sizes = [min(r.size, r.taken - k * r.size) for k in range(len(r.positions))]
+        copies += zip(r.positions, sizes, strict=True)
+    before = 0
+    for position, size in sorted(copies):
+        assert abs(position * total - before - size / 2) < 0.02 * total
+        before += size
+    assert before == total
+
+
 def test_mixing(docs, empty):
     sizes: dict = {}
     rows = mixing.mix(docs).collect()
