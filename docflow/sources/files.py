@@ -11,15 +11,21 @@ from docflow.session import pin_file_splits
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Files directly below ``path`` whose name matches ``glob``: ``file_uri, length, modified``.
 
-    Folders are skipped and not entered. The content column is never selected, so no file is read.
+    Folders give no rows, whatever their names; ``path`` may be a pattern of folders. The content
+    column is never selected, so no file is read.
     """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    depth = system.makeQualified(folder).depth()
+    # Names such as a=1 would make a lookup that is not recursive enter the folder, or fail on several.
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "false")
+        .option("recursiveFileLookup", "true")
         .load(path)
     )
-    return listing.select(
+    below = F.regexp_replace("path", "^[^/:]+:(//[^/]*)?", "")
+    return listing.filter(F.regexp_count(below, F.lit("/")) == depth + 1).select(
         F.col("path").alias("file_uri"), F.col("length"), F.col("modificationTime").alias("modified")
     )
 

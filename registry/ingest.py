@@ -28,6 +28,25 @@ from registry.routing import _shard
 area = Registry()
 
 
+# --- files -----------------------------------------------------------------------------------
+
+
+@area.add("""
+    SELECT event_type, 1::BIGINT AS files, sum(octet_length(encode(event_id || ' ' || coalesce(props, ''))) + 1)::BIGINT AS length
+    FROM events GROUP BY event_type
+""")
+def file_listing(spark, sf_dir):
+    # One file of lines for each type, beside files that the pattern leaves out and below folders that are not entered.
+    line = F.concat_ws(" ", F.col("event_id").cast("string"), F.coalesce("props", F.lit("")))
+    text = events(spark, sf_dir).select("event_type", "event_id", line.alias("line"))
+    folder = write_numbered(spark, text, "event_type", "event_id", "listed")
+    text.groupBy("event_type").agg(F.count("*").cast("string").alias("line")).write.mode("append").partitionBy("event_type").json(folder)
+    text.select("event_type", F.lit("deeper").alias("sub"), "line").write.mode("append").partitionBy("event_type", "sub").text(folder)
+    found = files.list_files(spark, f"{folder}/*", "*.txt")
+    kind = F.regexp_extract("file_uri", r"event_type=([^/]+)/[^/]+$", 1)
+    return found.groupBy(kind.alias("event_type")).agg(F.count("*").alias("files"), F.sum("length").alias("length"))
+
+
 # --- lines -----------------------------------------------------------------------------------
 
 

@@ -52,6 +52,23 @@ def _arriving_events(spark, sf_dir, parts: int):
     return streams.arriving_rows(spark, folder, source.schema, max_files=2)
 
 
+@area.add("SELECT event_id, user_id, event_type AS collection, true AS bounded, 3 AS batches FROM events")
+def stream_bounded_batches(spark, sf_dir):
+    # Six files arrive at once; a micro-batch takes two of them, so the others wait in their folder.
+    out, state = workspace(configure(spark), "bounded"), workspace(spark, "bounded-state")
+
+    def keep(batch, batch_id):
+        batch.withColumn("file", F.input_file_name()).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    writer = _arriving_events(spark, sf_dir, 6).writeStream.foreachBatch(keep).option("checkpointLocation", state)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    taken = spark.read.parquet(out)
+    sizes = taken.groupBy("batch").agg(F.countDistinct("file").alias("files"))
+    batches = sizes.count()
+    seen = taken.join(sizes, "batch").withColumn("user_id", F.get_json_object("json", "$.user_id").cast("bigint"))
+    return seen.select("event_id", "user_id", "collection", (F.col("files") <= 2).alias("bounded"), F.lit(batches).alias("batches"))
+
+
 @area.add("""
     SELECT event_id, user_id, event_type AS collection, false AS at_failed, true AS bounded,
       count(*) OVER () AS receipted, 0 AS failed, true AS each_receipted

@@ -23,6 +23,16 @@ def test_listing(spark, tmp_path):
     assert S.list_files(spark, str(tmp_path)).count() == 2
 
 
+def test_listing_enters_no_folder_whatever_its_name(spark, tmp_path):
+    for name in ("a", "k=1", "k=2", "k=2/x=3"):
+        (tmp_path / name).mkdir()
+        _file(tmp_path / name / "f.csv", name)
+    _file(tmp_path / "top file 1.csv", "t")
+    names = lambda path: sorted(r.file_uri.split(tmp_path.name)[1] for r in S.list_files(spark, path).collect())
+    assert names(str(tmp_path)) == ["/top file 1.csv"]
+    assert names(f"{tmp_path}/k=*") == ["/k=1/f.csv", "/k=2/f.csv"] and names(f"file://{tmp_path}/k=2/") == ["/k=2/f.csv"]
+
+
 def test_line_numbers_across_file_splits(spark, tmp_path):
     for name, n in (("one.log", 5000), ("two.log", 3), ("three.log", 1)):
         _file(tmp_path / name, "".join("\n" if i % 7 == 0 else f"{name} {i} {'x' * (i % 50)}\n" for i in range(1, n + 1)))
