@@ -215,12 +215,24 @@ def _tangled(edges: DataFrame) -> bool:
 def components(edges: DataFrame) -> DataFrame:
     """``id, component`` of every end of ``edges`` (``a, b``): the smallest id it is connected to.
 
-    Edges first become forests task by task, where they lie. Large-star and small-star rounds follow:
-    every node hands its larger, then its smaller neighbours to the smallest node it knows, until every
-    node has its root as the only neighbour. Each round is written to the shared folder.
+    Edges become forests task by task, where they lie, then in as few tasks as hold ``FOREST_EDGES`` of
+    their edges each. If one task holds them all, its forest is the result. Else large-star and
+    small-star rounds follow: every node hands its larger, then its smaller neighbours to the smallest
+    node it knows, until every node has its root as the only neighbour. Each round is written to the
+    shared folder.
     """
     ends = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    now = written(ends.mapInArrow(_forest, "u long, v long").distinct(), "components")
+    local = written(ends.mapInArrow(_forest, "u long, v long"), "components")
+    tasks = max(1, -(-local.count() // FOREST_EDGES))
+    now = written(local.coalesce(tasks).mapInArrow(_forest, "u long, v long"), "components")
+    if tasks > 1:
+        now = _starred(written(now.distinct(), "components"))
+    root = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(root)
+
+
+def _starred(now: DataFrame) -> DataFrame:
+    """Edges ``u, v`` from every node to its root, by large-star and small-star rounds."""
     while _tangled(now):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
@@ -231,5 +243,4 @@ def components(edges: DataFrame) -> DataFrame:
         kept = lowest.select("u", F.col("m").alias("v"))
         handed = large.join(lowest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = written(kept.union(handed).distinct(), "components")
-    root = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(root)
+    return now

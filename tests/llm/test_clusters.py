@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as contract
-from llm import centroids, hard_negatives, jaccard_join
+from llm import centroids, common, hard_negatives, jaccard_join
 
 VECTORS = "vec_id long, embedding array<float>, label int, cluster string, id string, v int, score double, rank int"
 
@@ -148,6 +148,23 @@ def _sets(texts, width):
     return found
 
 
+def test_components_of_many_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 400, (300, 2))] + [(i, i + 1) for i in range(1000, 1100)] + [(7, 7)]
+    up = {end: end for edge in edges for end in edge if edge[0] != edge[1]}
+    for _ in up:
+        for a, b in edges:
+            if a != b:
+                up[a] = up[b] = min(up[a], up[b])
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(9)
+    for held in (common.FOREST_EDGES, 40):
+        # The rounds over all tasks are taken where one task may not hold all edges.
+        monkeypatch.setattr(common, "FOREST_EDGES", held)
+        got = [(r.id, r.component) for r in common.components(frame).collect()]
+        assert len(got) == len(up) and dict(got) == up
+    assert common.components(frame.filter("a = b")).collect() == []
+
+
 def _components(texts, width, percent):
     sets = _sets(texts, width)
     up = list(range(len(sets)))
