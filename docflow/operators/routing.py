@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import bisect
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +38,66 @@ def with_shard(
     return hashed.withColumn("shard", shard).withColumn("slot", F.col("shard") + spread * F.lit(shards))
 
 
+@dataclass(frozen=True)
+class HotId:
+    """An id with at least a given share of the documents, and the writers that serve it alone."""
+
+    id: str
+    docs: int
+    shard: int
+    first: int
+    writers: int
+
+
+def hot_ids(df: DataFrame, key: str | Column, shards: int, tasks: int = 1, share: float = 0.01) -> list[HotId]:
+    """The ids that hold at least ``share`` of all documents, with writers in proportion to their documents.
+
+    One scan with a mergeable sketch of the most frequent items: a task and the driver hold a number of
+    ids that follows from ``share``, not from the data. The sketch may count an id too high by up to half of
+    ``share``, never too low, so that no hot id is missed; ids from half of ``share`` on may be named too.
+    Documents without an id take no part.
+    """
+    if not 0.0001 <= share <= 1:
+        raise ValueError("a hot id holds between a ten-thousandth and all of the documents")
+    column = F.col(key) if isinstance(key, str) else key
+    ids = df.select(column.cast("string").alias("id")).filter(F.col("id").isNotNull())
+    # The sketch's error is at most 3.5 parts of the items it tracks.
+    kept, tracked = math.ceil(2 / share), math.ceil(7 / share)
+    told = ids.agg(F.count(F.lit(1)).alias("total"), F.expr(f"approx_top_k(id, {kept}, {tracked})").alias("top")).first()
+    wanted = [(r["item"], r["count"]) for r in told["top"] or [] if r["count"] >= share * told["total"]]
+    if not wanted:
+        return []
+    named = df.sparkSession.createDataFrame(wanted, "id string, docs bigint")
+    rows = named.select("id", "docs", shard_of_hash(murmur3("id"), shards).alias("shard")).collect()
+    cold = told["total"] - sum(r["docs"] for r in rows)
+    # As many documents as a writer of the other ids gets; a share bounds the writers if there are none.
+    load = max(cold / (shards * tasks), share * told["total"] / 2, 1)
+    found, used = [], [tasks] * shards
+    for r in sorted(rows, key=lambda r: (-r["docs"], r["id"])):
+        writers = math.ceil(r["docs"] / load)
+        found.append(HotId(r["id"], r["docs"], r["shard"], used[r["shard"]], writers))
+        used[r["shard"]] += writers
+    return found
+
+
+def with_shard_by_heat(
+    df: DataFrame, key: str | Column, shards: int, tasks: int, tie: Column, hot: list[HotId]
+) -> DataFrame:
+    """``with_shard`` where all documents of an id share a slot, but for hot ids, which have slots of their own.
+
+    ``tie`` spreads the documents of a hot id over its slots; a NULL tie goes to the first of them. ``slot % shards == shard``
+    holds for all slots. The table of hot ids has at most two divided by their share rows.
+    """
+    own = [(h.id, h.first, h.writers) for h in hot]
+    table = df.sparkSession.createDataFrame(own, "_hot string, _first int, _writers int")
+    column = F.col(key) if isinstance(key, str) else key
+    placed = with_shard(df.withColumn("_id", column.cast("string")), column, shards, tasks)
+    joined = placed.join(table, F.col("_id") == F.col("_hot"), "left")
+    spread = F.col("_first") + F.coalesce(F.pmod(F.xxhash64(tie), F.col("_writers")).cast("int"), F.lit(0))
+    slot = F.when(F.col("_hot").isNotNull(), F.col("shard") + spread * F.lit(shards)).otherwise(F.col("slot"))
+    return joined.withColumn("slot", slot).drop("_id", "_hot", "_first", "_writers")
+
+
 def place_by_slot(df: DataFrame, slots: int) -> DataFrame:
     """Send slot i to partition i, so that one task owns one hash range."""
     return df.repartitionById(slots, F.col("slot"))

@@ -1,7 +1,8 @@
 """The six ingest jobs. Each returns its documents and, where records can be bad, its rejects.
 
 All of them work on batch and on streaming input. Documents and rejects are separate queries over
-the same input: write the input to a table first when both are wanted and it is costly to read.
+the same input. Where both are wanted, ``event_log`` gives its ``outcomes`` for one write to a document log,
+which returns either side, and ``json_lines.parsed_once`` does the same for parsed lines.
 """
 
 from __future__ import annotations
@@ -23,11 +24,18 @@ from docflow.sources import delimited
 from docflow.sources.files import raw_documents
 from docflow.sources.json_lines import parse_json_lines, rejected
 from docflow.sources.streams import with_status_id
+from docflow.streaming.document_log import REJECTED
 
 
 class Ingest(NamedTuple):
     documents: DataFrame
     rejects: DataFrame | None
+    #: Documents and rejects in one DataFrame, from one parse: append it to a log.
+    outcomes: DataFrame | None = None
+
+
+#: Columns of the outcomes that only rejects use.
+REJECT_FIELDS = ("text", "error")
 
 
 def record_time(text: Column) -> Column:
@@ -42,7 +50,8 @@ def event_log(
     """JSON event lines to one collection per time frame, routed by the hash of the id.
 
     Documents are ``collection, shard, slot, id, ts, json``; the event time doubles as the tie
-    that spreads the events of one hot id over the writers of its shard.
+    that spreads the events of one hot id over the writers of its shard. ``outcomes`` holds those columns
+    and ``text, error``: a line without a document has the collection ``REJECTED`` and the id it came with.
     """
     named = lines.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     flat = flatten.flatten_json(named, "text", pick=(ts_field,))
@@ -55,7 +64,22 @@ def event_log(
     )
     error = F.coalesce("error", F.when(ts.isNull(), F.lit("no usable timestamp")))
     rejects = flat.select("id", "text", error.alias("error")).filter(F.col("error").isNotNull())
-    return Ingest(documents, rejects)
+    judged = flat.withColumn("ts", ts).withColumn("error", error)
+    good = F.col("error").isNull()
+    given = F.col("id").cast("string")
+    keyed = judged.withColumn("id", F.when(good, F.coalesce("own_id", given)).otherwise(given))
+    told = with_shard(keyed, "id", shards, tasks, F.unix_millis("ts"))
+    outcomes = told.select(
+        F.when(good, frame.collection(F.col("ts"))).otherwise(REJECTED).alias("collection"),
+        F.when(good, F.col("shard")).alias("shard"),
+        F.when(good, F.col("slot")).alias("slot"),
+        "id",
+        F.when(good, F.unix_millis("ts")).alias("ts"),
+        F.when(good, F.col("flat")).alias("json"),
+        F.when(~good, F.col("text")).alias("text"),
+        "error",
+    )
+    return Ingest(documents, rejects, outcomes)
 
 
 def csv_folder(

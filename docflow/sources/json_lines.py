@@ -39,3 +39,18 @@ def accepted(parsed: DataFrame) -> DataFrame:
 
 def rejected(parsed: DataFrame, record: str = "record") -> DataFrame:
     return parsed.filter(F.col("error").isNotNull()).drop(record)
+
+
+def parsed_once(parsed: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Accepted and rejected lines of a parse that runs once.
+
+    The lines are written with their outcome as the partition, and each side is read back from its own
+    files. Any DataFrame with an ``error`` will do, such as one of ``flatten_json``.
+    """
+    if "outcome" in parsed.columns:
+        raise ValueError("a column is called outcome already")
+    told = parsed.withColumn("outcome", F.when(F.col("error").isNull(), "accepted").otherwise("rejected"))
+    told.write.partitionBy("outcome").parquet(path)
+    stored = parsed.sparkSession.read.schema(told.schema).parquet(path)
+    good, bad = (stored.filter(F.col("outcome") == side).drop("outcome") for side in ("accepted", "rejected"))
+    return good.drop("error"), bad

@@ -21,6 +21,8 @@ COLLECTION = "collection"
 BUCKET = "_bucket"
 POINTER = "current.json"
 DOCS_PER_BUCKET = 2_000_000
+# The collection of a log under which lines without a document are stored.
+REJECTED = "__rejected__"
 
 
 def write_documents(
@@ -82,10 +84,16 @@ class DocumentLog:
     ``compact`` writes the current documents as a new generation and then swaps one pointer file. Batches
     in the generation are not read again. A generation is cut by collection and by a hash of the id, so a
     lookup opens the files of one bucket.
+
+    Rows of the collection ``REJECTED`` are lines without a document. They are written and committed with the
+    documents of their batch, so that both come from one parse, and only ``rejects`` reads them.
+    ``reject_fields`` are the columns that only they use.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: tuple[str, ...] = (COLLECTION, "id")):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
+    def __init__(
+        self, spark: SparkSession, path: str, keys: tuple[str, ...] = (COLLECTION, "id"), reject_fields: tuple[str, ...] = ()
+    ):
+        self.spark, self.path, self.keys, self.reject_fields = spark, path.rstrip("/"), list(keys), reject_fields
 
     # --- writing ---------------------------------------------------------------------------------
 
@@ -100,7 +108,7 @@ class DocumentLog:
             batch = batch.withColumn("seq", F.monotonically_increasing_id())
         folder = f"{self.path}/documents/batch_id={batch_id}"
         write_documents(batch, folder, mode="overwrite")
-        write_json(f"{self.path}/schemas", f"{batch_id}.json", json.loads(batch.schema.json()))
+        write_json(f"{self.path}/schemas", f"{batch_id}.json", json.loads(batch.drop(*self.reject_fields).schema.json()))
         # Counted from the files just written, so the input is evaluated once.
         written = self.spark.read.schema(f"{COLLECTION} string").parquet(folder)
         manifest = written.groupBy(COLLECTION).agg(F.count(F.lit(1)).alias("docs"))
@@ -165,18 +173,30 @@ class DocumentLog:
         ids = sorted(int(f.path.rsplit("/", 2)[1].removeprefix("batch_id=")) for f in found if f.base_name == "_SUCCESS")
         return [i for i in ids if not pointer or i > pointer["upto"] or i in pointer["gaps"]]
 
+    def rejects(self) -> DataFrame:
+        """The rejected lines of all committed batches, compacted or not: ``batch_id``, the id and ``reject_fields`` as text."""
+        batches = self._batches({"upto": -1, "gaps": []})
+        columns = ["batch_id", self.keys[-1], *self.reject_fields]
+        texts = [T.StructField(name, T.StringType()) for name in (*columns[1:], COLLECTION)]
+        schema = T.StructType([*texts, T.StructField("batch_id", T.LongType())])
+        if not batches:
+            return self.spark.createDataFrame([], schema).select(*columns)
+        folders = [f"{self.path}/documents/batch_id={i}" for i in batches]
+        stored = self.spark.read.schema(schema).option("basePath", f"{self.path}/documents").parquet(*folders)
+        return stored.filter(F.col(COLLECTION) == REJECTED).select(*columns)
+
     def manifest(self) -> DataFrame:
-        """Committed batches: ``batch_id, collection, docs``, also those that a generation has taken up."""
+        """Committed batches: ``batch_id, collection, docs``, also rejects and those that a generation has taken up."""
         schema = f"{COLLECTION} string, docs bigint, batch_id bigint"
         return self.spark.read.schema(schema).parquet(f"{self.path}/manifest").select("batch_id", COLLECTION, "docs")
 
     def registry(self) -> DataFrame:
         """Every collection, with its number of documents: those of the generation and the versions since."""
         pointer = self.generation()
-        counts = self.manifest().select(COLLECTION, "docs")
+        counts = self.manifest().filter(F.col(COLLECTION) != REJECTED).select(COLLECTION, "docs")
         if pointer:
             base = self.spark.read.schema(f"{COLLECTION} string, docs bigint").parquet(f"{self.path}/base_counts/{pointer['folder']}")
-            counts = base.unionByName(self.manifest().filter(self._later(pointer)).select(COLLECTION, "docs"))
+            counts = base.unionByName(self.manifest().filter(self._later(pointer) & (F.col(COLLECTION) != REJECTED)).select(COLLECTION, "docs"))
         return counts.groupBy(COLLECTION).agg(F.sum("docs").alias("docs"))
 
     @staticmethod
@@ -209,6 +229,7 @@ class DocumentLog:
             read = T.StructType([*(T.StructField(f.name, f.dataType) for f in own.fields if f.name != COLLECTION), T.StructField(COLLECTION, T.StringType()), T.StructField("batch_id", T.LongType())])
             folders = [f"{self.path}/documents/batch_id={i}" for i in ids]
             stored = self.spark.read.schema(read).option("basePath", f"{self.path}/documents").parquet(*folders)
+            stored = stored.filter(F.col(COLLECTION) != REJECTED)
             part = stored.select("batch_id", COLLECTION, *(_as_type(f.name, have.get(f.name), f.dataType) for f in wanted))
             delta = part if delta is None else delta.unionByName(part)
         return base, delta

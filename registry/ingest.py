@@ -16,7 +16,7 @@ from docflow.operators.routing import INT_MAX, INT_MIN, ShardRange, equal_ranges
 from docflow.plans import jobs
 from docflow.session import configure, workspace
 from docflow.sources import delimited, files, json_lines, streams
-from docflow.streaming import delivery, document_log
+from docflow.streaming import delivery, document_log, latency
 from docflow.streaming.progress import counted
 from registry import Registry
 from registry import log_lines as lines
@@ -402,6 +402,31 @@ def ingest_metrics(spark, sf_dir):
     return spark.createDataFrame(values, "metric string, n bigint")
 
 
+_MILLIS = "((event_id * 7919) % 10007 + (event_id % 13) * (event_id % 97) * 100) / 16.0"
+
+
+@area.add(f"""
+    SELECT endpoint, quantile, any_value(n) AS n,
+      CASE WHEN min(millis) < 1e-6 THEN -2147483648 ELSE ceil(ln(min(millis)) / ln(1.01 / 0.99)) END::INTEGER AS bucket, true AS near
+    FROM (
+      SELECT endpoint, millis, row_number() OVER (PARTITION BY endpoint ORDER BY millis) AS place, count(*) OVER (PARTITION BY endpoint) AS n
+      FROM (SELECT event_type AS endpoint, ({_MILLIS})::DOUBLE AS millis FROM events)
+    ), (SELECT unnest([0.5, 0.95, 0.99]::DOUBLE[]) AS quantile)
+    WHERE place >= quantile * n GROUP BY endpoint, quantile
+""")
+def latency_quantiles(spark, sf_dir):
+    # A latency for each event, sketched per endpoint and minute in four batches, one of them sent twice, and merged on reading.
+    path = workspace(configure(spark), "latencies")
+    timed = events(spark, sf_dir).select(F.col("event_type").alias("endpoint"), "event_id", "ts", F.expr(_MILLIS).cast("double").alias("millis"))
+    for batch_id in (0, 1, 2, 1, 3):
+        latency.append_sketches(latency.latency_sketches(timed.filter(F.col("event_id") % 4 == batch_id), ["endpoint"], "ts"), path, batch_id)
+    merged = latency.merged_quantiles(latency.stored_sketches(spark, path), ["endpoint"], [0.5, 0.95, 0.99])
+    exact = timed.groupBy("endpoint").agg(*(F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY millis)").alias(f"q{q}") for q in (0.5, 0.95, 0.99)))
+    told = exact.select("endpoint", F.inline(F.array(*(F.struct(F.lit(q).alias("quantile"), F.col(f"`q{q}`").alias("exact")) for q in (0.5, 0.95, 0.99)))))
+    near = F.abs(F.col("value") - F.col("exact")) <= F.col("exact") * (latency.ERROR + 1e-9)
+    return merged.join(told, ["endpoint", "quantile"]).select("endpoint", "quantile", "n", "bucket", near.alias("near"))
+
+
 # --- jobs --------------------------------------------------------------------------------------
 
 
@@ -551,6 +576,37 @@ def stream_event_log(spark, sf_dir):
     return shard_report(log.documents(), ("collection", "shard"))
 
 
+_BROKEN_LINE = "CASE event_id % 9 WHEN 0 THEN '{\"ts\":\"soon\"}' WHEN 4 THEN '{\"ts\":' END"
+
+
+@area.add(f"""
+    SELECT event_id::VARCHAR AS id, event_id % 9 NOT IN (0, 4) AS stored,
+      CASE WHEN event_id % 9 NOT IN (0, 4) THEN {COLLECTION_SQL} END AS collection,
+      CASE WHEN event_id % 9 NOT IN (0, 4) THEN {_shard('h', 3)} END AS shard,
+      CASE WHEN event_id % 9 NOT IN (0, 4) THEN {_EVENT_JSON} END AS json,
+      {_BROKEN_LINE} AS text, CASE event_id % 9 WHEN 0 THEN 'no usable timestamp' WHEN 4 THEN 'malformed JSON' END AS error
+    FROM ({murmur3_sql('events', 'event_id::VARCHAR', 'event_id, ts, user_id, event_type, props')})
+""")
+def stream_event_outcomes(spark, sf_dir):
+    # Good and bad lines of a stream from one parse and one write: documents and rejects are both read from the log.
+    kind = F.col("id").cast("bigint") % 9
+    line = F.when(kind == 0, F.lit('{"ts":"soon"}')).when(kind == 4, F.lit('{"ts":')).otherwise(F.col("line"))
+    text = event_lines(spark, sf_dir).withColumn("line", line).select(F.to_json(F.struct("id", "line")))
+    folder = write_lines(spark, text.repartition(4), "arriving")
+    arriving = streams.arriving_lines(spark, folder, max_files=2, glob="*.txt")
+    record = F.from_json("value", "id string, line string")
+    job = jobs.event_log(arriving.select(record.alias("r")).select("r.*"), "id", "line", TWELVE_HOURS, shards=3)
+    log = document_log.DocumentLog(spark, workspace(spark, "outcome-log"), reject_fields=jobs.REJECT_FIELDS)
+    document_log.start_ingest(job.outcomes, log, workspace(spark, "stream-state")).awaitTermination()
+    log.compact()
+    nothing = F.lit(None).cast("string")
+    stored = log.current().select("id", F.lit(True).alias("stored"), "collection", "shard", "json", nothing.alias("text"), nothing.alias("error"))
+    rejected = log.rejects().select(
+        "id", F.lit(False).alias("stored"), nothing.alias("collection"), F.lit(None).cast("int").alias("shard"), nothing.alias("json"), "text", "error"
+    )
+    return stored.unionByName(rejected)
+
+
 @area.add(_LATEST)
 def stream_upserts(spark, sf_dir):
     folder = workspace(configure(spark), "versions")

@@ -11,6 +11,7 @@ from docflow.functions.variants import as_text
 from docflow.operators import blocks as B
 from docflow.operators import flatten as N
 from docflow.operators import json_paths as P
+from docflow.session import workspace
 from docflow.sources import json_lines as J
 from registry import Registry
 from registry.common import table, events
@@ -56,6 +57,20 @@ def json_flatten_errors(spark, sf_dir):
     return parsed.groupBy(F.coalesce("error", F.lit("document")).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@area.add("""
+    SELECT event_id, CASE event_id % 10 WHEN 0 THEN 'malformed JSON' WHEN 1 THEN 'not a JSON object' WHEN 4 THEN 'not a JSON object' END AS error,
+      CASE event_id % 10 WHEN 0 THEN props[:4] WHEN 1 THEN '[' || props || ']' WHEN 4 THEN '"text"' END AS text,
+      CASE WHEN event_id % 10 > 4 THEN props::JSON->>'k' END AS k
+    FROM events WHERE event_id % 10 NOT IN (2, 3)
+""")
+def json_lines_parsed_once(spark, sf_dir):
+    # Records and rejects are read back from one write; no line is parsed twice.
+    good, bad = J.parsed_once(J.parse_json_lines(_broken(spark, sf_dir)), workspace(spark, "parsed-once"))
+    nothing = F.lit(None).cast("string")
+    records = good.select("event_id", nothing.alias("error"), nothing.alias("text"), F.expr("variant_get(record, '$.k', 'string')").alias("k"))
+    return records.unionByName(bad.select("event_id", "error", F.col("value").alias("text"), nothing.alias("k")))
+
+
 @area.add("SELECT event_id::VARCHAR AS event_id, 'k' AS path, props::JSON->>'k' AS value FROM events")
 def json_flatten_events(spark, sf_dir):
     documents = N.flat_documents(N.flatten_json(events(spark, sf_dir), "props"), "event_id")

@@ -64,6 +64,24 @@ def hot_id_spread(spark, sf_dir):
     )
 
 
+_HEATED = "SELECT *, CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE user_id::VARCHAR END AS id FROM events"
+
+
+@area.add(f"""
+    SELECT event_id, {_shard('h', 4)} AS shard, event_id % 3 = 0 AS own_writers, true AS fits, true AS even
+    FROM ({murmur3_sql(f"({_HEATED})", 'id', 'event_id')})
+""")
+def hot_ids_found(spark, sf_dir):
+    # One id, not declared anywhere, holds a third of the events: it gets writers of its own, within its shard.
+    named = events(spark, sf_dir).withColumn("id", F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.col("user_id").cast("string")))
+    placed = R.with_shard_by_heat(named, "id", 4, 3, F.col("event_id"), R.hot_ids(named, "id", 4, 3, share=0.1))
+    # No writer of the hot id gets twice what the other twelve get on average.
+    own = F.col("slot") >= 12
+    sizes = R.shard_report(placed, ("slot",)).agg((F.max(F.when(own, F.col("docs"))) < 2 * F.sum(F.when(~own, F.col("docs"))) / 12).alias("even"))
+    told = placed.select("event_id", "shard", own.alias("own_writers"), (F.col("slot") % 4 == F.col("shard")).alias("fits"))
+    return told.withColumn("even", F.lit(sizes.first()["even"]))
+
+
 _LAYOUT = [
     R.ShardRange("small", R.INT_MIN, -2_000_000_000),
     R.ShardRange("large", -1_999_999_999, 999_999_999),

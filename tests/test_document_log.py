@@ -5,6 +5,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import types as T
 
+from docflow.functions.timeframes import TimeFrame
+from docflow.operators import flatten
+from docflow.plans import jobs
+from docflow.sources import json_lines
 from docflow.streaming import document_log
 from docflow.streaming.document_log import DocumentLog, merged_schema
 
@@ -106,3 +110,41 @@ def test_lookup_opens_one_bucket(spark, tmp_path):
     plan = log.lookup(["18"])._jdf.queryExecution().toString()
     filters = [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
     assert any("_bucket" in f for f in filters)
+
+
+def test_documents_and_rejects_from_one_parse(spark, tmp_path):
+    lines = spark.createDataFrame(
+        [("1", '{"ts":1704103200000,"a":1}'), ("2", '{"ts":'), ("3", '{"ts":"soon"}'), (None, "[1]"), ("5", ""), ("6", None), ("2", '{"id":"own","ts":1704103200000}')],
+        "id string, line string",
+    )
+    job = jobs.event_log(lines, "id", "line", TimeFrame("e_", unit="HOURS", length=12, pattern="yy-MM-dd_HH"), shards=2)
+    log = DocumentLog(spark, str(tmp_path / "log"), reject_fields=jobs.REJECT_FIELDS)
+    assert log.rejects().collect() == []
+    log.append(job.outcomes.filter("error IS NULL OR id IS NULL"), 0)
+    log.append(job.outcomes.filter("error IS NOT NULL AND id IS NOT NULL"), 1)
+    plain = lambda df, *names: sorted((tuple(r) for r in df.select(*names).collect()), key=str)
+    columns = ("collection", "shard", "slot", "id", "ts", "json")
+    bad = ("id", "text", "error")
+    for _ in range(2):
+        assert plain(log.documents(), *columns) == plain(job.documents, *columns)
+        assert plain(log.rejects(), *bad) == plain(job.rejects, *bad) and log.rejects().count() == 3
+        assert {"text", "error"}.isdisjoint(log.documents().columns)
+        assert [tuple(r) for r in log.registry().collect()] == [("e_24-01-01_00", 2)]
+        log.compact(buckets=2)
+    plan = log.rejects()._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "__rejected__" in plan and "Python" not in plan
+
+
+def test_lines_are_parsed_once(spark, tmp_path):
+    lines = spark.createDataFrame([(1, '{"a":1}'), (2, "{"), (3, "[]"), (4, "null"), (5, "")], "n int, value string")
+    good, bad = json_lines.parsed_once(json_lines.parse_json_lines(lines), str(tmp_path / "lines"))
+    assert [r.n for r in good.collect()] == [1] and good.columns == ["n", "value", "record"]
+    assert sorted((r.n, r.error) for r in bad.collect()) == [(2, "malformed JSON"), (3, "not a JSON object")]
+    for side in (good, bad):
+        assert "parse_json" not in side._jdf.queryExecution().executedPlan().toString()
+    flat, _ = json_lines.parsed_once(flatten.flatten_json(lines, "value"), str(tmp_path / "flat"))
+    assert [r.flat for r in flat.collect()] == ['{"a":1}']
+    none, rejects = json_lines.parsed_once(json_lines.parse_json_lines(lines.limit(0)), str(tmp_path / "none"))
+    assert none.collect() == rejects.collect() == []
+    with pytest.raises(ValueError):
+        json_lines.parsed_once(bad.withColumn("outcome", bad.n), str(tmp_path / "x"))

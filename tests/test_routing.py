@@ -107,3 +107,28 @@ def test_owner_lookup_is_an_equality_join(spark):
 
 def test_even_placement(spark):
     assert R.place_evenly(spark.range(100), 5).rdd.getNumPartitions() == 5
+
+
+def test_hot_ids_get_writers_of_their_own(spark):
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 10 == 1, "warm").when(F.col("id") % 50 != 2, F.concat(F.lit("u"), F.col("id") % 7001)).alias("key"),
+        F.when(F.col("id") % 4 > 0, F.col("id")).alias("tie"),
+        F.lit(1).alias("_first_seen"),
+    ).repartition(8)
+    hot = R.hot_ids(rows, "key", 4, 3, share=0.05)
+    assert [h.id for h in hot] == ["hot", "warm"] and all(h.first >= 3 for h in hot) and hot[0].writers > hot[1].writers
+    exact = {r["key"]: r["count"] for r in rows.filter("key IN ('hot', 'warm')").groupBy("key").count().collect()}
+    assert all(exact[h.id] <= h.docs <= exact[h.id] + 0.025 * 60_000 for h in hot)
+    placed = R.with_shard_by_heat(rows, "key", 4, 3, F.col("tie"), hot)
+    assert placed.count() == 60_000 and placed.filter("slot % 4 <> shard").isEmpty()
+    same = placed.select("key", "shard").distinct().exceptAll(R.with_shard(rows, "key", 4).select("key", "shard").distinct())
+    assert same.isEmpty()
+    slots = {r.key: r.slots for r in placed.groupBy("key").agg(F.countDistinct("slot").alias("slots")).collect()}
+    assert all(n == 1 for key, n in slots.items() if key not in ("hot", "warm")) and slots["hot"] == hot[0].writers
+    assert R.hot_ids(rows.filter("key = 'none'"), "key", 4, 3) == []
+    assert R.hot_ids(rows.filter("key IS NULL"), "key", 4, 3) == []
+    only = R.hot_ids(rows.filter("key = 'hot'"), "key", 4, 3, share=0.05)
+    assert [(h.id, h.docs) for h in only] == [("hot", 20_000)] and only[0].writers <= 40
+    assert R.with_shard_by_heat(rows, "key", 4, 3, F.col("tie"), []).filter("slot >= 12").isEmpty()
+    with pytest.raises(ValueError):
+        R.hot_ids(rows, "key", 4, share=0.0)
