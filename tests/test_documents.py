@@ -108,6 +108,13 @@ def test_block_own_ids_and_rejects(spark):
     assert [(r.id, r.error) for r in rejects.collect()] == [("doc1", N.MIXED_LIST)]
 
 
+def test_blocks_of_one_split_are_parsed_in_many_tasks(spark):
+    df = spark.createDataFrame([(f"doc{i}", json.dumps({"k": i})) for i in range(64)], "id string, value string")
+    parsed = B.parse_blocks(df.coalesce(1), "id", "value")
+    assert "Exchange hashpartitioning(id" in parsed._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.doc_id for r in B.block_documents(parsed).collect()) == sorted(f"doc{i}" for i in range(64))
+
+
 def test_fetch_blocks_limits_each_parent(spark):
     parents = spark.range(3)
     children = spark.range(500).select((F.col("id") % 2).alias("parent"), F.col("id").alias("no"))
