@@ -258,6 +258,33 @@ def test_pseudo_likelihood(spark, docs, empty):
     assert pseudo_likelihood.pseudo_likelihood(empty).count() == 0
 
 
+def test_pseudo_likelihood_task_takes_one_core(spark):
+    """Steps of a task run in its own thread: OpenBLAS's threads spun on all cores over the small products."""
+
+    def timed(batches):
+        import math
+        import time
+
+        from llm.common import one_blas_thread
+
+        one_blas_thread()
+        rng = np.random.default_rng(0)
+        weights = pseudo_likelihood.initial(1064)
+        line, at = pseudo_likelihood._lined_up(rng.integers(0, 1064, 100_000).astype(np.int32), np.full(500, 200), 1064)
+        for _ in batches:
+            pass
+        cpu, wall = time.process_time(), time.perf_counter()
+        for lo in range(0, len(at), 4096):
+            near, own = pseudo_likelihood._piece(line, at, lo, 4096)
+            pseudo_likelihood.descend(weights, near, own, 0.5 * math.sqrt(len(own) / 256))
+        yield pa.RecordBatch.from_arrays([pa.array([(time.process_time() - cpu) / (time.perf_counter() - wall)])], names=["ratio"])
+
+    import pyarrow as pa
+
+    (ratio,) = spark.range(1, numPartitions=1).mapInArrow(timed, "ratio double").first()
+    assert ratio < 1.5
+
+
 def test_classes_of_all_groups_sum_to_one():
     weights = pseudo_likelihood.initial(300)
     weights = [w + np.random.default_rng(1).normal(0, 0.3, w.shape).astype(np.float32) * (w > -1) for w in weights]
