@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -14,6 +15,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from llm import ann, bpe, chat, invertible, language, minhash, mixing, pseudo_likelihood, suffix, warc
+from llm.common import gram_hashes, range_hashes
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, digest int, size int, b int"
 WORDS = [f"w{i}" for i in range(400)]
@@ -163,6 +165,42 @@ def test_suffix_array_and_prefixes():
             assert shared[i] == k
 
 
+def test_equal_windows_before_zero_bytes():
+    """Zeros behind the text, which fill the last words, are none of its bytes."""
+    rng = np.random.default_rng(3)
+    for letters, n in ((1, 73), (1, 119), (2, 458), (1, 2303)):
+        text = np.concatenate([rng.integers(0, letters, n), np.zeros(60, np.int64)]).astype(np.uint8)
+        starts, opens = suffix.equal_windows(text, np.arange(len(text)) <= len(text) - 50)
+        groups = np.split(starts, np.flatnonzero(opens)[1:])
+        windows = [{text[i : i + 50].tobytes() for i in g} for g in groups]
+        assert all(len(w) == 1 for w in windows) and len(set.union(*windows)) == len(groups)
+        assert sorted(starts.tolist()) == list(range(len(text) - 49))
+
+
+def test_suffixes_cost_a_few_sorts():
+    """Prefixes are compared by eight bytes and groups sorted as plain numbers; byte by byte took twice the time."""
+    rng = np.random.default_rng(4)
+    source = rng.integers(97, 123, 120_000).astype(np.uint8)
+    text = np.concatenate([source[i : i + 400] for i in rng.integers(0, len(source) - 400, 2500)])
+    key = rng.integers(0, 1 << 62, len(text)).astype(np.uint64)
+    ratios = []
+    for _ in range(3):
+        at = time.process_time()
+        np.argsort(key)
+        one = time.process_time()
+        suffix.equal_windows(text, np.ones(len(text), bool))
+        ratios.append((time.process_time() - one) / (one - at))
+    assert min(ratios) < 12
+
+
+def test_hashes_in_a_row_equal_those_of_ranges():
+    data = np.random.default_rng(5).integers(0, 256, 70_000).astype(np.uint8)
+    for width in (1, 25, 50):
+        at = np.arange(len(data) - width + 1)
+        assert (gram_hashes(data, width) == range_hashes(data, at, at + width)).all()
+    assert not len(gram_hashes(data[:24], 25))
+
+
 def test_fingerprints(spark, docs, empty):
     rows = sorted(((r.doc_id, r.text or "") for r in docs.collect()), reverse=True)
     got = {r.doc_id: r for r in invertible.fingerprints(docs).collect()}
