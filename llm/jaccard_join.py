@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from llm.common import by_key, components, shingle_sets, spread_join, tidy, written
+from llm.common import by_key, components, likely, marked, shingle_sets, spread_join, tidy, written
 
 # The most crowded shingles come last in the order of pivots; this many at most, from this crowd on.
 CROWDED = 1 << 16
@@ -85,7 +85,7 @@ def profiles(texts: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def _unfolded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each first shingle. Spark sees the same rows in both its uses, so that it shuffles the windows once."""
+    """A row for each first shingle."""
     for batch in batches:
         low = batch.column("low")
         size = np.asarray(low.value_lengths())
@@ -143,7 +143,8 @@ def _numbered(folds: np.ndarray) -> np.ndarray:
 
 def _compared(pairs: DataFrame, sets: DataFrame, column: str, percent: int, name: str) -> DataFrame:
     """The pairs ``a, b`` whose sets in ``column`` are close enough; many pairs may share one ``a``."""
-    side = lambda s: sets.select(F.col("id").alias(s), F.col(column).alias(f"s_{s}"))
+    # Few sets are in a pair; the others are not shuffled.
+    side = lambda s: likely(sets.select(F.col("id").alias(s), F.col(column).alias(f"s_{s}")), pairs, s)
     centres = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("pairs"), F.min("b").alias("one")).join(side("a"), "a")
     both = spread_join(pairs.join(side("b"), "b"), centres, "a", "b", "one", "pairs")
     read = _set if column == "shingles" else lambda value: _numbered(np.frombuffer(value.as_buffer(), np.uint16))
@@ -247,16 +248,22 @@ class Region:
                 self.test(i, rows[later], self.shared(i, rows[later]))
 
 
-def region_links(members: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` between different components of a region; ``members`` has ``pivot, id, n, label, shingles``."""
-    load = members.groupBy("pivot").agg(F.sum("n").alias("shingles"), F.count(F.lit(1)).alias("members"))
+def region_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between different components of a region; ``members`` has ``pivot, id, label``.
+
+    ``sets`` has ``id, n, shingles``. Members are dealt to tasks first, and then get their sets.
+    """
+    near = likely(sets.select("id", "n", "shingles"), members, "id")
+    sizes = near.groupBy("id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
+    load = members.join(sizes, "id").groupBy("pivot").agg(F.sum("n").alias("shingles"), F.sum("texts").alias("members"))
     blocks = F.greatest(F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.ceil(F.col("members") / BLOCK_MEMBERS)).cast("int")
     dealt = (
         members.join(load.select("pivot", blocks.alias("blocks")), "pivot")
         .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("place", F.xxhash64("pivot", F.least("block", "other"), F.greatest("block", "other")))
-        .select("place", "id", "label", "shingles", "block", "other")
+        .select("place", "id", "label", "block", "other")
+        .join(near.select("id", "shingles"), "id")
         .repartition("place")
         .sortWithinPartitions("place")
     )
@@ -296,10 +303,16 @@ def near_sets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = written(profiles(texts, width, percent), "jaccard-profiles")
     filled = rows.filter("n > 0 AND id IS NOT NULL")
     # Equal sets are one class, which goes on as its smallest id.
-    classes = filled.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("members"), F.any_value("low").alias("low"), F.any_value("n").alias("n"))
-    low = classes.select("first", "n", "low").mapInArrow(_unfolded, "id long, n long, pivot long")
-    crowds = low.groupBy("pivot").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    met = written(low.join(crowds, "pivot"), "jaccard-met")
+    first = F.min("id").alias("first")
+    classes = filled.groupBy("digest").agg(first, F.count(F.lit(1)).alias("members"))
+    # Sets alone in their class, most of them, need not be shuffled to be one.
+    told = marked(filled, classes.filter("members > 1"), "digest")
+    alone = told.filter("NOT _marked").select(F.col("id").alias("first"), "n", "low")
+    equal = told.filter("_marked").groupBy("digest").agg(first, F.any_value("n").alias("n"), F.any_value("low").alias("low"))
+    low = alone.unionByName(equal.drop("digest")).mapInArrow(_unfolded, "id long, n long, pivot long")
+    # Most first shingles are in one set alone, so counts shuffled by themselves would be as many; counted in place, they are shuffled once.
+    crowds = low.withColumn("members", F.count(F.lit(1)).over(Window.partitionBy("pivot")))
+    met = written(crowds.filter("members > 1"), "jaccard-met")
     # Linked documents share at least as many first shingles as the smaller margin, in whatever order.
     least = F.expr(f"1 + (n * {percent} + 99) div 100 div 16")
     candidates = written(met.groupBy("id", "n").count().filter(F.col("count") >= least).select("id").distinct(), "jaccard-candidates")
@@ -310,7 +323,8 @@ def near_sets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     placed = sets.select("id", "n", F.posexplode("pivots").alias("place", "pivot"))
     digest = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), F.col("id"))).alias(f"digest{seed}")
-    regions = placed.groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("id", "n")).alias("low"), digest(1), digest(2))
+    # A region's rows are smaller than its sums, of which each task would send its own.
+    regions = placed.select("pivot", "id", "n").repartition("pivot").groupBy("pivot").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("id", "n")).alias("low"), digest(1), digest(2))
     # Regions with the same documents are one.
     once = regions.filter("members > 1").groupBy("members", "low", "digest1", "digest2").agg(F.min("pivot").alias("pivot"), F.count(F.lit(1)).alias("weight"))
     joined = placed.join(once.drop("digest1", "digest2"), "pivot")
@@ -342,7 +356,7 @@ def near_sets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ).filter("weight >= 1 + LEAST(n_a, n_b) div 16").filter(F.col("place") + 2 - 2 * F.col("weight") <= unlike(F.col("n_a"), F.col("n_b")))
     links = links.union(verified(likely, sets, percent))
     many = apart.filter(F.col("members") > SMALL).select("pivot", "id", "label").distinct()
-    links = links.union(region_links(many.join(sets.select("id", "n", "shingles"), "id"), percent))
+    links = links.union(region_links(many, sets, percent))
 
     found = components(links)
     named = classes.join(found.withColumnRenamed("id", "first"), "first", "left").select(

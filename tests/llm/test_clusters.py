@@ -6,9 +6,11 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from llm import centroids, common, hard_negatives, jaccard_join
@@ -203,6 +205,56 @@ def test_jaccard_odd_rows(spark):
     assert jaccard_join.near_sets(docs.limit(0)).count() == 0
 
 
+def test_regions_with_several_texts_of_an_id(spark, monkeypatch):
+    """Members are dealt by the size of all their sets and get every one of them, without the sets of others."""
+    rng = np.random.default_rng(6)
+    base = np.unique(rng.integers(0, 1 << 62, 60)).astype(np.uint64)
+    near = [np.sort(np.append(base, np.uint64(i))) for i in range(4)]
+    other = np.unique(rng.integers(0, 1 << 62, 60)).astype(np.uint64)
+    rows = [(0, other), (0, near[0]), (1, near[1]), (2, near[2]), (3, other), (9, near[3])]
+    sets = spark.createDataFrame([(i, len(s), bytearray(s.tobytes())) for i, s in rows], "id long, n long, shingles binary")
+    members = spark.createDataFrame([(p, i, i) for p in (7, 8) for i in range(4)], "pivot long, id long, label long")
+    for block in (2048, 2):
+        monkeypatch.setattr(jaccard_join, "BLOCK_MEMBERS", block)
+        links = {tuple(r) for r in jaccard_join.region_links(members, sets, 85).collect()}
+        assert links <= {(0, 1), (0, 2), (0, 3), (1, 2)}
+        found = common.components(spark.createDataFrame(list(links), "a long, b long")).collect()
+        assert {(r.id, r.component) for r in found} == {(i, 0) for i in range(4)}
+
+
+def test_likely_rows_hold_all_of_the_keys(spark, monkeypatch):
+    rows = spark.range(10_000).select((F.col("id") * 7919).alias("id"))
+    keys = rows.limit(100).union(rows.limit(10))
+    wanted = {r.id for r in keys.collect()}
+    found = [r.id for r in common.likely(rows, keys, "id").collect()]
+    assert wanted <= set(found) and len(found) == len(set(found)) < 200
+    # A full map loses no row either.
+    monkeypatch.setattr(common, "MAP_BITS", 128)
+    assert wanted <= {r.id for r in common.likely(rows, keys, "id").collect()}
+    assert common.marked(rows, keys, "id").count() == 10_000
+    assert common.likely(rows, keys.limit(0), "id").count() == 0
+
+
+def test_written_tables_leave_no_shuffle(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    blocks = lambda: {name for f in map(str, _items(disk.getAllFiles())) if (name := f.rpartition("/")[2]).startswith("shuffle_")}
+    setting = spark.conf.get(common._CLEANUP, "false")
+    before = blocks()
+    table = common.written(spark.range(10_000).repartition(5, "id"), "test-shuffles")
+    for _ in range(40):
+        left = blocks() - before
+        if not left:
+            break
+        time.sleep(0.25)
+    assert not left and table.count() == 10_000 and spark.conf.get(common._CLEANUP, "false") == setting
+
+
+def _items(seq):
+    at = seq.iterator()
+    while at.hasNext():
+        yield at.next()
+
+
 def test_region_recursion():
     rng = random.Random(2)
     groups = [[rng.randrange(10**6) for _ in range(80)] for _ in range(12)]
